@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from parlance.llm import signature_tree, tokens
+from parlance.llm import decontaminate, lm_score, mixing, multiset_hash, secrets, signature_tree, tokens, toxicity, url_filter, warc
 
-QUERIES = {f.__name__: f for f in (tokens.op2_token_ids, signature_tree.op10_jaccard_join)}
-ORACLES: dict[str, str] = {}
+QUERIES = {
+    f.__name__: f
+    for f in (decontaminate.op1_decontaminate, tokens.op2_token_ids, multiset_hash.op3_multiset_hash, secrets.op4_secrets, mixing.op5_mixing, warc.op6_warc, lm_score.op7_lm_score, toxicity.op8_toxicity, url_filter.op9_url_filter, signature_tree.op10_jaccard_join)
+}
+ORACLES: dict[str, str] = {"op6_warc": warc.OP6_SQL, "op9_url_filter": url_filter.OP9_SQL}
