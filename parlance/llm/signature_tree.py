@@ -29,10 +29,14 @@ from pyspark.sql import functions as F
 from parlance.llm.common import Tables, WordHashes, column_bytes, components, shingles
 
 BITS = 1024
+#: Bits for the documents of pairs that the trees leave over, so that long documents are told apart too.
+WIDE_BITS = 1 << 14
 #: Token counts from which a token goes last in the order, and how many such tokens may: 8 bytes each are broadcast.
 HOT_COUNT, HOT_TOKENS = 64, 1 << 17
 #: Members of a block, of a leaf; children of a node.
 BLOCK, LEAF, FAN = 2048, 16, 4
+#: Runs of at most so many members are compared directly, many runs at once: a tree over them would be one leaf.
+SMALL = 32
 FEATURES = "doc_id bigint, n bigint, p int, set_hash binary, tokens array<bigint>, bits binary"
 
 
@@ -90,7 +94,11 @@ def set_batches(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.Record
         for lo in range(0, len(ids), 1000):
             sets = [shingles(raw, k, cache).view(np.int64) for raw in texts[lo : lo + 1000]]
             values = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, sets)]), pa.int32()), pa.array(np.concatenate(sets)))
-            yield pa.RecordBatch.from_arrays([pa.array(ids[lo : lo + 1000], pa.int64()), values], ["doc_id", "set"])
+            bits = np.zeros((len(sets), WIDE_BITS), np.uint8)
+            for row, s in zip(bits, sets, strict=True):
+                row[(s >> 10) & (WIDE_BITS - 1)] = 1
+            wide = pa.array([x.tobytes() for x in np.packbits(bits, 1)], pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(ids[lo : lo + 1000], pa.int64()), values, wide], ["doc_id", "set", "bits"])
 
 
 def needed(sizes, percent: int):
@@ -154,8 +162,28 @@ def expand(one: Tree, other: Tree, level: int, x: np.ndarray, y: np.ndarray) ->
     return np.repeat(a, count) + k // width, np.repeat(b, count) + k % width
 
 
-def candidate_batches(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """Sorted runs of (token, i, j) with (block, id, component, n, bits) to pairs (a, b) of two components that no node rules out."""
+def covering(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of pairs a few that reach all their members: each hub with its partners that no earlier hub has, and with one that some has."""
+    x, y = np.concatenate([x, y]), np.concatenate([y, x])
+    order = np.lexsort((y, x))
+    x, y = x[order], y[order]
+    size = int(x.max()) + 1 if len(x) else 0
+    degree = np.bincount(x, minlength=size)
+    start = np.cumsum(degree) - degree
+    covered, out = np.zeros(size, bool), []
+    for hub in np.argsort(-degree, kind="stable"):
+        if covered[hub] or not degree[hub]:
+            continue
+        partners = y[start[hub] : start[hub] + degree[hub]]
+        old = covered[partners]
+        chosen = np.concatenate([partners[~old], partners[old][:1]])
+        out.append(np.stack([np.full(len(chosen), hub), chosen]))
+        covered[hub] = covered[partners] = True
+    return tuple(np.concatenate(out, 1)) if out else (x, y)
+
+
+def candidate_batches(batches: Iterator[pa.RecordBatch], percent: int, few: bool) -> Iterator[pa.RecordBatch]:
+    """Sorted runs of (token, i, j) with (block, id, component, n, bits) to pairs (a, b) of two components that no node rules out; of a run all, or a few that cover its members."""
     key, run = None, []
 
     def pairs(run: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -172,17 +200,47 @@ def candidate_batches(batches: Iterator[pa.RecordBatch], percent: int) -> Iterat
         x, y = traverse(trees[0], trees[-1], percent)
         a, b = sides[0][x], sides[-1][y]
         keep = comp[a] != comp[b]
-        a, b = ids[a[keep]], ids[b[keep]]
+        a, b = a[keep], b[keep]
+        if few:
+            a, b = covering(a, b)
+        a, b = ids[a], ids[b]
         found = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1), axis=0)
         if len(found):
             yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], ["a", "b"])
 
+    def directly(batch: pa.RecordBatch, starts: np.ndarray, sizes: np.ndarray) -> Iterator[pa.RecordBatch]:
+        comp, ids, n, block = (batch.column(c).to_numpy() for c in ("component", "id", "n", "block"))
+        bits = np.frombuffer(b"".join(batch.column("bits").to_pylist()), np.uint64).reshape(batch.num_rows, -1)
+        ones = np.bitwise_count(bits).sum(1, dtype=np.int64)
+        split = batch.column("i").to_numpy() != batch.column("j").to_numpy()
+        for lo in range(0, len(starts), 256):
+            start, size = starts[lo : lo + 256], sizes[lo : lo + 256]
+            count = size * size
+            k = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+            first, width = np.repeat(start, count), np.repeat(size, count)
+            a, b = first + k // width, first + k % width
+            keep = (comp[a] < comp[b]) & ~(split[a] & (block[a] == block[b])) & (100 * np.minimum(n[a], n[b]) >= percent * np.maximum(n[a], n[b]))
+            a, b = a[keep], b[keep]
+            pair = np.unique(np.stack([np.minimum(ids[a], ids[b]), np.maximum(ids[a], ids[b])], 1), axis=0, return_index=True)[1]
+            a, b = a[pair], b[pair]
+            common = np.bitwise_count(bits[a] & bits[b]).sum(1, dtype=np.int64)
+            most = np.minimum(np.minimum(n[a] - (ones[a] - common), n[b] - (ones[b] - common)), common + np.minimum(n[a] - ones[a], n[b] - ones[b]))
+            keep = most >= needed(n[a] + n[b], percent)
+            a, b = ids[a[keep]], ids[b[keep]]
+            if len(a):
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+
     for batch in batches:
         if not batch.num_rows:
             continue
         keys = np.stack([batch.column(c).to_numpy() for c in ("token", "i", "j")], 1)
         starts = np.flatnonzero(np.r_[True, (keys[1:] != keys[:-1]).any(1)])
-        for s, e in zip(starts, [*starts[1:], batch.num_rows], strict=True):
+        sizes = np.diff([*starts, batch.num_rows])
+        inner = np.zeros(len(starts), bool)
+        inner[1:-1] = (sizes[1:-1] <= SMALL) & (not few)
+        if inner.any():
+            yield from directly(batch, starts[inner], sizes[inner])
+        for s, e in zip(starts[~inner], (starts + sizes)[~inner], strict=True):
             if key is not None and key != tuple(keys[s]):
                 yield from pairs(run)
                 run = []
@@ -210,13 +268,15 @@ class JaccardJoin:
         spark, k, percent = docs.sparkSession, self.k, self.percent
         tables = Tables(spark)
         texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-        features = tables.write(texts.mapInArrow(lambda it: feature_batches(it, k, percent), FEATURES), "features")
+        features = texts.mapInArrow(lambda it: feature_batches(it, k, percent), FEATURES).withColumn("row", F.monotonically_increasing_id())
+        features = tables.write(features, "features")
         size = tables.write(features.select("doc_id", "n", "set_hash"), "sizes")
-        classes = tables.write(size.where("n > 0 and doc_id is not null").groupBy("set_hash").agg(F.min("doc_id").alias("id")), "classes")
-        first = features.join(classes.withColumnRenamed("set_hash", "of"), (F.col("of") == F.col("set_hash")) & (F.col("id") == F.col("doc_id")))
-        first = tables.write(first.select("id", "n", "p", "tokens", "bits").dropDuplicates(["id"]), "firsts")
+        head = features.where("n > 0 and doc_id is not null").groupBy("set_hash").agg(F.min(F.struct("doc_id", "row")).alias("head"))
+        classes = tables.write(head.select("set_hash", F.col("head.doc_id").alias("id"), "head.row"), "classes")
+        first = features.select(F.col("doc_id").alias("id"), "n", "p", "tokens", "bits", "row").join(classes.select("row"), "row")
+        first = tables.write(first.drop("row"), "firsts")
         tables.drop(features)
-        nodes = first.select("id", "n", "bits")
+        nodes = tables.write(first.select("id", "n", "bits"), "nodes")
 
         tokens = first.select("id", F.explode(F.slice("tokens", F.lit(1), F.col("p"))).alias("token"))
         hot = tokens.groupBy("token").count().where(F.col("count") >= self.hot_count).orderBy(F.desc("count"), "token").limit(HOT_TOKENS)
@@ -228,18 +288,20 @@ class JaccardJoin:
             known = again.where("tokens is not null").select("doc_id", "tokens").union(whole.dropDuplicates(["doc_id"]).select("doc_id", "tokens"))
             tokens = known.select(F.col("doc_id").alias("id"), F.explode("tokens").alias("token"))
         tokens = tables.write(tokens, "tokens")
+        tables.drop(first, *([again] if len(hot) else []))
         often = tokens.groupBy("token").agg(F.count("*").alias("members"), F.min(F.xxhash64("token", "id").alias("h")).alias("least")).where("members > 1")
         shared = tables.write(tokens.join(often, "token"), "shared")
         tables.drop(tokens)
 
         star = self.likely(shared, nodes, tables)
-        links = tables.write(self.verified(star, texts, tables), "links")
+        links = self.verified(star, texts, tables)
         label = tables.write(components(links, tables), "labels")
-        found = self.between(shared, nodes, label, tables).join(star, ["a", "b"], "left_anti")
-        found = tables.write(found, "candidates")
-        if not found.isEmpty():
-            links = links.union(tables.write(self.verified(found, texts, tables), "links"))
-            label = tables.write(components(links, tables), "labels")
+        compared = star
+        for few in (True, False):  # a few pairs in large groups first: what they link needs no more comparison
+            found = tables.write(self.between(shared, nodes, label, tables, few).join(compared, ["a", "b"], "left_anti"), "candidates")
+            if not found.isEmpty():
+                links, compared = links.union(self.verified(found, texts, tables)), compared.union(found)
+                label = tables.write(components(links, tables), "labels")
         of_class = classes.join(label, "id", "left").select("set_hash", F.coalesce("component", "id").alias("component_id"))
         out = size.join(of_class, "set_hash", "left")
         return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
@@ -275,18 +337,22 @@ class JaccardJoin:
         """The pairs whose whole sets reach the similarity."""
         k = self.k
         ids = tables.write(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "compared")
-        sets = texts.join(ids, "doc_id", "left_semi").select("doc_id", "text").mapInArrow(lambda it: set_batches(it, k), "doc_id bigint, set array<bigint>")
-        sets = tables.write(sets.dropDuplicates(["doc_id"]), "sets")
+        sets = texts.join(ids, "doc_id", "left_semi").select("doc_id", "text").mapInArrow(lambda it: set_batches(it, k), "doc_id bigint, set array<bigint>, bits binary")
+        sets = tables.write(sets, "sets")
+        near = self.sieved(self.paired(pairs, sets.select(F.col("doc_id").alias("id"), F.size("set").cast("bigint").alias("n"), "bits")))
+        near = tables.write(near.distinct(), "near")
         side = lambda s: sets.select(F.col("doc_id").alias(s), F.col("set").alias(f"set_{s}"))
         both = F.size(F.array_intersect("set_a", "set_b"))
-        out = pairs.join(side("a"), "a").join(side("b"), "b").where(100 * both >= self.percent * (F.size("set_a") + F.size("set_b") - both)).select("a", "b")
+        out = near.join(side("a"), "a").join(side("b"), "b").where(100 * both >= self.percent * (F.size("set_a") + F.size("set_b") - both)).select("a", "b")
         out = tables.write(out, "verified")
-        tables.drop(sets, ids)
+        tables.drop(sets, near, ids)
         return out
 
-    def between(self, shared: DataFrame, nodes: DataFrame, label: DataFrame, tables: Tables) -> DataFrame:
-        """Pairs of different components that share a token and that the trees do not rule out."""
+    def between(self, shared: DataFrame, nodes: DataFrame, label: DataFrame, tables: Tables, few: bool) -> DataFrame:
+        """Pairs of different components that share a token and that the trees do not rule out; or a few of each large group."""
         percent, block = self.percent, self.block
+        if few:
+            shared = shared.where(F.col("members") > SMALL)
         now = shared.select("token", "id", "members").join(label, "id", "left").select("token", "id", "members", F.coalesce("component", "id").alias("component"))
         now = tables.write(now, "members")
         mixed = now.groupBy("token").agg(F.min("component").alias("c0"), F.max("component").alias("c1")).where("c0 <> c1").select("token")
@@ -295,7 +361,9 @@ class JaccardJoin:
         each = at.withColumn("to", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         each = each.select("token", F.least("block", "to").alias("i"), F.greatest("block", "to").alias("j"), "block", "id", "component", "n", "bits")
         dealt = each.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j", "n", "id")
-        return dealt.mapInArrow(lambda it: candidate_batches(it, percent), "a bigint, b bigint").distinct()
+        out = tables.write(dealt.mapInArrow(lambda it: candidate_batches(it, percent, few), "a bigint, b bigint").distinct(), "between")
+        tables.drop(now)
+        return out
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, similarity: str = "0.8") -> DataFrame:
