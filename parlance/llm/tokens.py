@@ -14,6 +14,8 @@ from __future__ import annotations
 
 import os
 import re
+import sys
+import types
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -32,17 +34,17 @@ GROUP = 256
 FILES = "file string, low bigint, docs bigint, tokens bigint"
 DOCS = "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint"
 
-#: White space other than space and line feed; a space beside other white space or at an end of the text.
+#: White space other than space and line feed.
 _OTHER_SPACE = re.compile("[\t\x0b\x0c\r\x1c-\x1f\x85\xa0  -     　]")
-_INNER_SPACE = re.compile(r"(?<=\S) (?=\S)")
 
 
 class Encoder:
-    """Token ids of whole texts as little-endian bytes, with a memory of the pieces between single spaces.
+    """Token ids of whole texts as little-endian bytes, with a memory of the words between single spaces.
 
-    A byte-level BPE encodes the parts between word boundaries on their own, and a space between two other characters that
-    are not white space is such a boundary, so the ids of a text are those of its pieces. ``words`` bounds the memory.
-    Texts with other special content (a special token's string) are encoded whole.
+    A byte-level BPE encodes the parts between word boundaries on their own. A space or a line feed between two characters
+    that are not white space is such a boundary, so the ids of a text are those of its lines' first words, of its other words with the
+    space before them, and of line feeds. A text with other white space or with a special token's string is encoded whole.
+    ``words`` bounds the memory.
     """
 
     def __init__(self, path: str, words: int = 400_000):
@@ -56,43 +58,65 @@ class Encoder:
         self.widths = np.zeros(self.tokenizer.get_vocab_size(), np.int64)
         for token, i in self.tokenizer.get_vocab().items():
             self.widths[i] = len(token)
-        self.known: dict[str, bytes] = {}
+        self.line_feed, *marks = self.ids(["\n", ",", "."])
+        self.marks = dict(zip(",.", marks, strict=True))
+        #: Words with and without a space before them.
+        self.later: dict[str, bytes] = {}
+        self.first: dict[str, bytes] = {}
         self.words = words
 
     def ids(self, texts: list[str]) -> list[bytes]:
         return [np.array(x.ids, self.type).tobytes() for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def plain(self, text: str) -> bool:
+        return bool(text) and not ("  " in text or " \n" in text or "\n " in text or "\n\n" in text or text[0] in " \n" or text[-1] in " \n" or any(x in text for x in self.special) or _OTHER_SPACE.search(text))
+
     def encode(self, texts: list[str]) -> list[bytes]:
-        pieces, known = [], self.known
-        if len(known) > self.words:
-            known.clear()
-        for text in texts:
-            if any(x in text for x in self.special):
-                pieces.append([text])
-            elif "  " in text or " \n" in text or "\n " in text or text[:1] == " " or text[-1:] == " " or _OTHER_SPACE.search(text):
-                first, *rest = _INNER_SPACE.split(text)
-                pieces.append([first, *(" " + x for x in rest)])
+        if len(self.later) + len(self.first) > self.words:  # short words come back the most
+            self.later, self.first = ({w: x for w, x in known.items() if len(w) <= 7} for known in (self.later, self.first))
+            if len(self.later) + len(self.first) > self.words // 2:
+                self.later, self.first = {}, {}
+        lines = [[line.split(" ") for line in t.split("\n")] if self.plain(t) else None for t in texts]
+        whole = iter(self.ids([t for t, x in zip(texts, lines, strict=True) if x is None]))
+        firsts = [[x.pop(0) for x in doc] for doc in lines if doc is not None]
+        self.learn(list(set().union(*firsts).difference(self.first)), self.first, False)
+        self.learn(list(set().union(*(x for doc in lines if doc is not None for x in doc)).difference(self.later)), self.later, True)
+        out, first, later, heads = [], self.first, self.later, iter(firsts)
+        for doc in lines:
+            if doc is None:
+                out.append(next(whole))
             else:
-                pieces.append(text.replace(" ", "\0 ").split("\0") if "\0" not in text else [text])
-        self.learn([x for x in set().union(*pieces) if x not in known])
-        return [b"".join(map(known.__getitem__, p)) for p in pieces]
-
-
-    def learn(self, new: list[str]) -> None:
-        """Pieces of a space and a word are encoded together, many in one text, and told apart by the bytes of their ids."""
-        alone = [x for x in new if not (x[:1] == " " and x[1:2].strip() and x[-1:].strip()) or any(c in x for c in self.special)]
-        for lo in range(0, len(alone), 4096):
-            self.known.update(zip(alone[lo : lo + 4096], self.ids(alone[lo : lo + 4096]), strict=True))
-        rest = list(set(new).difference(alone))
-        groups = [rest[lo : lo + 2000] for lo in range(0, len(rest), 2000)]
+                out.append(self.line_feed.join([first[w] + b"".join(map(later.__getitem__, x)) for w, x in zip(next(heads), doc, strict=True)]))
+        return out
+
+    def learn(self, new: list[str], known: dict[str, bytes], spaced: bool) -> None:
+        """Many words are encoded in one text, with the boundary that they stand at, and told apart by the bytes of their ids."""
+        marked = [x for x in new if x[-1] in ",." and x[-2:-1].isalpha()]
+        if marked:  # a mark after a letter is a part of its own
+            bare = {x[:-1] for x in marked}.difference(known)
+            self.learn(list(bare.union(set(new).difference(marked))), known, spaced)
+            known.update({x: known[x[:-1]] + self.marks[x[-1]] for x in marked})
+            return
+        groups = [new[lo : lo + 4000] for lo in range(0, len(new), 4000)]
         size = np.dtype(self.type).itemsize
-        for group, data in zip(groups, self.ids(["".join(g) for g in groups]), strict=True):
-            ends = np.cumsum([len(x.encode()) for x in group])
+        joined = [" " + " ".join(g) if spaced else "\n".join(g) for g in groups]
+        for group, data in zip(groups, self.ids(joined), strict=True):
+            ends = np.cumsum([len(x.encode()) + 1 for x in group]) - (0 if spaced else 1)
             at = np.cumsum(self.widths[np.frombuffer(data, self.type)])
-            cut = (np.searchsorted(at, ends) + 1) * size
-            if (at[cut // size - 1] != ends).any():
+            cut = np.searchsorted(at, ends) + 1
+            if (at[cut - 1] != ends).any():
                 raise ValueError("a token crosses a word boundary: not a byte-level tokenizer")
-            self.known.update((x, data[a:b]) for x, a, b in zip(group, [0, *cut[:-1].tolist()], cut.tolist(), strict=True))
+            cut = (cut * size).tolist()
+            starts = [0, *cut[:-1]] if spaced else [0, *(c + len(self.line_feed) for c in cut[:-1])]
+            known.update({x: data[a:b] for x, a, b in zip(group, starts, cut, strict=True)})
+
+
+def encoder_of(path: str) -> Encoder:
+    """This process's encoder: a worker that runs several tasks loads the tokenizer and learns common words once."""
+    home = sys.modules.setdefault("_parlance_encoders", types.ModuleType("_parlance_encoders")).__dict__
+    if path not in home:
+        home[path] = Encoder(path)
+    return home[path]
 
 
 def opened(root: str) -> tuple[pafs.FileSystem, str]:
@@ -145,7 +169,7 @@ def write_batches(batches: Iterator[pa.RecordBatch], root: str, tokenizer: str,
         ids, texts = batch.column(0).to_pylist(), batch.column(1)
         for lo in range(0, len(ids), 500):
             if out is None:
-                encoder = Encoder(tokenizer)
+                encoder = encoder_of(tokenizer)
                 out, low = SequenceWriter(root, name, encoder.type, length), ids[0]
                 last = b"" if end is None else np.array([end], encoder.type).tobytes()
             for doc_id, code in zip(ids[lo : lo + 500], encoder.encode([x or "" for x in texts[lo : lo + 500].to_pylist()]), strict=True):
