@@ -374,3 +374,15 @@ def near_duplicates(docs: DataFrame, k: int = 5, similarity: str = "0.8") -> Dat
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three-word shingles, similarity of 0.9 or more, over all documents."""
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"), 3, "0.9")
+
+
+OP10_SQL = r"""
+with recursive w as (select doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') as w from documents),
+s as (select doc_id, list_distinct(case when len(w) >= 3 then list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) when len(w) > 0 then [array_to_string(w, ' ')] else [] end) as s from w),
+n as (select doc_id, len(s) as n from s),
+e as (select doc_id, unnest(s) as x from s),
+p as (select a.doc_id as a, b.doc_id as b, count(*) as common from e a join e b on a.x = b.x and a.doc_id <> b.doc_id group by 1, 2),
+l as (select p.a, p.b from p join n x on x.doc_id = p.a join n y on y.doc_id = p.b where 100 * common >= 90 * (x.n + y.n - common)),
+r as (select doc_id, doc_id as seen from n union select r.doc_id, l.b from r join l on l.a = r.seen)
+select n.doc_id, cast(n.n as bigint) as n_shingles, min(r.seen) as component_id from n join r using (doc_id) group by 1, 2
+"""
