@@ -57,6 +57,11 @@ class Tables:
                 delete_path(self.spark, path)
 
 
+def bounded_batches(spark: SparkSession, rows: int = 2000) -> None:
+    """From now on a Python worker of the session gets at most so many rows at once: whole texts can be long."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
 def spread(spark: SparkSession, times: int = 1) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) * times)
 
@@ -64,7 +69,7 @@ def spread(spark: SparkSession, times: int = 1) -> int:
 class WordHashes(dict):
     """64-bit hashes of words as bytes; keeps those of the first ``room`` words it meets."""
 
-    def __init__(self, room: int = 200_000):
+    def __init__(self, room: int = 100_000):
         super().__init__()
         self.room = room
 

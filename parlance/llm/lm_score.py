@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parlance.llm.common import WordHashes, column_bytes, mix64, word_hashes
+from parlance.llm.common import WordHashes, bounded_batches, column_bytes, mix64, word_hashes
 
 VOCABULARY, BUCKET_BITS = 1 << 16, 20
 #: Weight of the bigram estimate; count added to each word.
@@ -133,19 +133,22 @@ def cross_entropy_difference(docs: DataFrame, targets: DataFrame, vocabulary: in
     and are scored each; an empty table gives no rows; further columns are ignored.
     """
     spark = docs.sparkSession
+    bounded_batches(spark)
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     words = rows.select("text").mapInArrow(word_batches, "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
-    top = words.orderBy(F.desc("n"), "word").limit(vocabulary).select("word").toPandas()
-    known = np.sort(top["word"].to_numpy(np.int64).view(np.uint64))
+    top = words.orderBy(F.desc("n"), "word").limit(vocabulary).select("word").toArrow()
+    known = np.sort(top.column("word").to_numpy().view(np.uint64))
     good = targets.select(F.col("doc_id").cast("bigint").alias("doc_id")).distinct().withColumn("good", F.lit(True))
-    labelled = rows.join(good, "doc_id", "left").select("text", F.coalesce("good", F.lit(False)).alias("good"))
+    # Target ids grow with the documents: never broadcast.
+    labelled = rows.join(good.hint("merge"), "doc_id", "left").select("text", F.coalesce("good", F.lit(False)).alias("good"))
     cells = labelled.mapInArrow(lambda it: count_batches(it, known), "cell bigint, background bigint, target bigint")
-    cells = cells.groupBy("cell").agg(F.sum("background").alias("background"), F.sum("target").alias("target")).toPandas()
+    cells = cells.groupBy("cell").agg(F.sum("background").alias("background"), F.sum("target").alias("target")).toArrow()
     models = []
     for name in ("background", "target"):
         counts = np.zeros((1 << BUCKET_BITS) + len(known) + 2, np.int64)
-        counts[cells["cell"].to_numpy(np.int64)] = cells[name].to_numpy(np.int64)
+        counts[cells.column("cell").to_numpy()] = cells.column(name).to_numpy()
         models.append(Bigrams(counts))
+    del cells, counts
     sent = spark.sparkContext.broadcast((known, *models))
     return rows.mapInArrow(lambda it: score_batches(it, *sent.value), SCORES)
 

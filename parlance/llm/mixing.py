@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parlance.llm.common import Tables
+from parlance.llm.common import Tables, bounded_batches
 
 #: Labelled rows that the classifier is fitted on, at most, in the order of a hash of doc_id; hashed words; turns.
 MAX_ROWS, WORDS, TURNS, TOLERANCE = 4000, 4096, 30, 1e-3
@@ -166,6 +166,7 @@ def mixed(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] = TARG
     rows; further columns are ignored.
     """
     spark = docs.sparkSession
+    bounded_batches(spark)
     domains = sorted(targets)
     weights = spark.sparkContext.broadcast(train(docs, labelled, domains))
     row = F.struct(*[F.col(c) for c in keep]) if keep else F.lit(0)

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parlance.llm.common import WordHashes, fold, mix64, spread, word_hashes
+from parlance.llm.common import WordHashes, bounded_batches, fold, mix64, spread, word_hashes
 
 EXACT, SKETCH, K = 32, 256, 3
 RESULT = "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
@@ -129,6 +129,7 @@ def fingerprints_with_edits(docs: DataFrame) -> DataFrame:
     another in order of their texts; the only document of a table is its own neighbour; an empty table gives no rows.
     """
     spark = docs.sparkSession
+    bounded_batches(spark)
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     rows = rows.withColumn("key", F.coalesce("doc_id", F.lit(-(1 << 63))))
     parts = spread(spark, 2)

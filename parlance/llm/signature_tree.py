@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parlance.llm.common import Tables, WordHashes, column_bytes, components, shingles
+from parlance.llm.common import Tables, WordHashes, bounded_batches, column_bytes, components, shingles
 
 BITS = 1024
 #: Bits for the documents of pairs that the trees leave over, so that long documents are told apart too.
@@ -34,7 +34,7 @@ WIDE_BITS = 1 << 14
 #: Token counts from which a token goes last in the order, and how many such tokens may: 8 bytes each are broadcast.
 HOT_COUNT, HOT_TOKENS = 64, 1 << 17
 #: Members of a block, of a leaf; children of a node.
-BLOCK, LEAF, FAN = 2048, 16, 4
+BLOCK, LEAF, FAN = 1024, 16, 4
 #: Runs of at most so many members are compared directly, many runs at once: a tree over them would be one leaf.
 SMALL = 32
 FEATURES = "doc_id bigint, n bigint, p int, set_hash binary, tokens array<bigint>, bits binary"
@@ -267,6 +267,7 @@ class JaccardJoin:
     def run(self, docs: DataFrame) -> DataFrame:
         spark, k, percent = docs.sparkSession, self.k, self.percent
         tables = Tables(spark)
+        bounded_batches(spark)
         texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
         features = texts.mapInArrow(lambda it: feature_batches(it, k, percent), FEATURES).withColumn("row", F.monotonically_increasing_id())
         features = tables.write(features, "features")

@@ -26,7 +26,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from parlance.llm.common import new_path, spread
+from parlance.llm.common import bounded_batches, new_path, spread
 
 LENGTH = 2048
 #: Sequences in a record batch.
@@ -243,6 +243,7 @@ def write_tokens(docs: DataFrame, root: str, tokenizer: str, end: int | None = N
     ignored; an empty table writes no file. ``end`` is appended to each document.
     """
     spark = docs.sparkSession
+    bounded_batches(spark)
     opened(root)[0].create_dir(opened(root)[1], recursive=True)
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     rows = rows.repartitionByRange(files or spread(spark), "doc_id").sortWithinPartitions("doc_id", F.length("text"), "text")

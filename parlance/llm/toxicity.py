@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parlance.llm.common import Tables
+from parlance.llm.common import Tables, bounded_batches
 
 MAX_ROWS, MAX_FEATURES = 6000, 2000
 #: Word beginnings that are features.
@@ -73,7 +73,7 @@ def decode(piece: str, model: dict[str, float]) -> str:
 class Restorer(dict):
     """Words as written to words as meant; keeps those it meets, up to a number."""
 
-    def __init__(self, model: dict[str, float], room: int = 300_000):
+    def __init__(self, model: dict[str, float], room: int = 150_000):
         super().__init__()
         self.model, self.room = model, room
 
@@ -238,6 +238,7 @@ def score_batches(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[p
 
 def scored(docs: DataFrame, model: Model, keep: list[str] = ()) -> DataFrame:
     """Each row's doc_id and score, from its whole text (null: empty) alone; ``keep`` names columns of docs to hold on to."""
+    bounded_batches(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(model)
     row = F.struct(*[F.col(c) for c in keep]) if keep else F.lit(0)
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), row.alias("row"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
