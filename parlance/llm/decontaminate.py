@@ -48,12 +48,12 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, k: int = K, similarity
     """One row (doc_id, item_id, start_word, n_words, hamming, similarity) for each document and item that its best window matches.
 
     A shingle weighs ln(1 + items / items that have it), one of no item as much as one of a single item. An item of fewer
-    than ``k`` words is one shingle. Defined results: null, empty and blank texts and items match nothing; rows that repeat a doc_id are
-    one document; null ids are left out; of windows that are equally similar the first counts; an empty table gives no rows;
+    than ``k`` words is one shingle. Defined results: null, empty and blank texts and items match nothing; rows that repeat a doc_id count
+    as one document, each with windows of its own; null ids are left out; of windows that are equally similar the first counts; an empty table gives no rows;
     further columns are ignored.
     """
     tables = Tables(docs.sparkSession)
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")).where("doc_id is not null")
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")).where("doc_id is not null").withColumn("row", F.xxhash64("text"))
     items = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), words_of(F.col("text").cast("string")).alias("words")).where("item_id is not null and size(words) > 0")
     items = items.select("item_id", "words", F.size("words").alias("n"), F.least(F.size("words"), F.lit(k)).alias("k"))
     sizes = [r["k"] for r in items.select("k").distinct().collect()]
@@ -74,21 +74,21 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, k: int = K, similarity
     sent = F.broadcast if small else (lambda x: x)
     windows = None
     for size in sizes:
-        words = rows.select("doc_id", words_of(F.col("text")).alias("words"))
-        each = words.select("doc_id", F.size("words").alias("length"), F.posexplode(shingles_of(F.col("words"), size)).alias("pos", "hash"))
-        hit = each.join(sent(places.where(F.col("k") == size).drop("k")), "hash").select("doc_id", "length", "pos", F.explode("at").alias("at"))
+        words = rows.select("doc_id", "row", words_of(F.col("text")).alias("words"))
+        each = words.select("doc_id", "row", F.size("words").alias("length"), F.posexplode(shingles_of(F.col("words"), size)).alias("pos", "hash"))
+        hit = each.join(sent(places.where(F.col("k") == size).drop("k")), "hash").select("doc_id", "row", "length", "pos", F.explode("at").alias("at"))
         start = F.greatest(F.lit(0), F.least(F.col("pos") - F.col("at.place"), F.col("length") - F.col("at.n")))
-        hit = hit.select("doc_id", F.lit(size).alias("k"), F.col("at.n").alias("n"), start.alias("start")).distinct()
+        hit = hit.select("doc_id", "row", F.lit(size).alias("k"), F.col("at.n").alias("n"), start.alias("start")).distinct()
         windows = hit if windows is None else windows.union(hit)
     windows = tables.write(windows, "windows")
-    key = ["doc_id", "k", "n", "start"]
-    of_doc = tables.write(windows.groupBy("doc_id").agg(F.collect_set(F.struct("k", "n", "start")).alias("windows")), "documents")
-    again = rows.join(of_doc, "doc_id").select("doc_id", words_of(F.col("text")).alias("words"), "windows")
+    key = ["doc_id", "row", "k", "n", "start"]
+    of_doc = tables.write(windows.groupBy("doc_id", "row").agg(F.collect_set(F.struct("k", "n", "start")).alias("windows")), "documents")
+    again = rows.join(of_doc, ["doc_id", "row"]).select("doc_id", "row", words_of(F.col("text")).alias("words"), "windows")
     inside = None
     for size in sizes:
         of_size = F.filter("windows", lambda w: w["k"] == size)  # noqa: B023
-        each = again.select("doc_id", shingles_of(F.col("words"), size).alias("all"), F.explode(of_size).alias("w"))
-        each = each.select("doc_id", "w.k", "w.n", "w.start", F.explode(F.array_distinct(F.slice("all", F.col("w.start") + 1, F.greatest(F.col("w.n") - (size - 1), F.lit(1))))).alias("hash"))
+        each = again.select("doc_id", "row", shingles_of(F.col("words"), size).alias("all"), F.explode(of_size).alias("w"))
+        each = each.select("doc_id", "row", "w.k", "w.n", "w.start", F.explode(F.array_distinct(F.slice("all", F.col("w.start") + 1, F.greatest(F.col("w.n") - (size - 1), F.lit(1))))).alias("hash"))
         inside = each if inside is None else inside.union(each)
     inside = tables.write(inside.distinct().join(sent(weights), "hash", "left").select(*key, "hash", F.coalesce("weight", rarest).alias("weight")), "window-shingles")
 

@@ -65,17 +65,20 @@ def ratios(samples: DataFrame) -> list[float]:
     for a in CLASSES:
         sums = [sum(counts.get((s, a + b), 0) for b in CLASSES) for s in (False, True)]
         for b in CLASSES:
-            random = (counts.get((True, a + b), 0) + 20 * share[b]) / (sums[1] + 20 * sum(share.values()))
+            # Half of the model is uniform over the characters: samples of one alphabet must not rule out the others.
+            random = 0.5 * (counts.get((True, a + b), 0) + 20 * share[b]) / (sums[1] + 20) + 0.5 * share[b]
             ordinary = (counts.get((False, a + b), 0) + 0.5) / (sums[0] + 0.5 * len(CLASSES))
             out.append(math.log(random / ordinary))
     return out
 
 
 def ratio(token: Column, table: list[float]) -> Column:
+    """The token's log-likelihood ratio; a pair that occurs again adds no evidence, so repetition is not taken for a secret."""
     word, known = classes(token), F.array(*map(F.lit, table))
-    at = lambda i: F.position(F.substr(word, i, F.lit(1)), F.lit(CLASSES))
-    value = lambda i: F.coalesce(F.get(known, F.when((at(i) > 0) & (at(i + 1) > 0), (at(i) - 1) * len(CLASSES) + at(i + 1) - 1)), F.lit(0.0))
-    return F.aggregate(F.sequence(F.lit(1), F.length(word) - 1), F.lit(0.0), lambda a, i: a + value(i))
+    at = lambda pair, i: F.position(F.substr(pair, F.lit(i), F.lit(1)), F.lit(CLASSES))
+    value = lambda p: F.coalesce(F.get(known, F.when((at(p, 1) > 0) & (at(p, 2) > 0), (at(p, 1) - 1) * len(CLASSES) + at(p, 2) - 1)), F.lit(0.0))
+    pairs = F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(word) - 1), lambda i: F.substr(word, i, F.lit(2))))
+    return F.aggregate(pairs, F.lit(0.0), lambda a, p: a + value(p))
 
 
 def base_spans(text: Column) -> Column:
