@@ -25,18 +25,40 @@ RUN, NAME = r"[A-Za-z0-9+/_=-]{20,}", r"[A-Za-z_][A-Za-z0-9_]{7,}"
 CLASSES = "abcdefghijklmnopqrstuvwxyz0_"
 FROM, TO = "ABCDEFGHIJKLMNOPQRSTUVWXYZ123456789+/=-.", "abcdefghijklmnopqrstuvwxyz000000000_____"
 MAX_DOCS, LEAST_RATIO = 5000, 12.0
+#: Elements of an array that are summed up, or passed over, at once.
+GROUP_BITS = 8
+GROUP = 1 << GROUP_BITS
+
+
+def let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once: a lambda would compute what it captures again for each element."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
 def located(text: Column, pattern: str, group: int) -> Column:
     """All leftmost non-overlapping matches as structs (start, end, part) in code points, part being the group's text.
 
-    The texts between matches and the matches themselves add up to the places.
+    The texts between matches and the matches themselves add up to the places. Lengths are summed by groups of matches first, so that a
+    text of very many matches takes no step for each pair of them.
     """
     found, between = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
     part = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else found
-    total = lambda parts: F.aggregate(parts, F.lit(0), lambda a, x: a + F.length(x))
-    start = lambda i: total(F.slice(between, F.lit(1), i + 1)) + total(F.slice(found, F.lit(1), i))
-    return F.transform(found, lambda m, i: F.struct(start(i).alias("start"), (start(i) + F.length(m)).alias("end"), F.get(part, i).alias("part")))
+    total = lambda lengths: F.aggregate(lengths, F.lit(0), lambda a, x: a + x)
+
+    def placed(s: Column) -> Column:
+        grouped = F.transform(groups(F.size(s["lengths"])), lambda g: total(F.slice(s["lengths"], g * GROUP + 1, F.lit(GROUP))))
+        before = lambda sums, i: total(F.slice(sums, F.lit(1), F.shiftright(i, GROUP_BITS))) + total(F.slice(s["lengths"], i - i.bitwiseAND(GROUP - 1) + 1, i.bitwiseAND(GROUP - 1)))
+        starts = let(grouped, lambda sums: F.transform(s["between"], lambda x, i: before(sums, i) + F.length(x)))
+        return let(starts, lambda at: F.transform(s["found"], lambda m, i: F.struct(F.get(at, i).alias("start"), (F.get(at, i) + F.length(m)).alias("end"), F.get(s["part"], i).alias("part"))))
+
+    lengths = lambda s: F.zip_with(s["found"], F.slice(s["between"], F.lit(1), F.size(s["found"])), lambda m, x: F.length(m) + F.length(x))
+    whole = let(F.struct(found.alias("found"), between.alias("between"), part.alias("part")), lambda s: F.struct(s["found"].alias("found"), s["between"].alias("between"), s["part"].alias("part"), lengths(s).alias("lengths")))
+    return let(whole, placed)
+
+
+def groups(size: Column) -> Column:
+    """Numbers of the groups of ``GROUP`` that ``size`` elements make; one for none."""
+    return F.sequence(F.lit(0), F.shiftright(size, GROUP_BITS))
 
 
 def spans(text: Column, kind: str, number: int, pattern: str, group: int, least: int) -> Column:
@@ -50,10 +72,15 @@ def classes(token: Column) -> Column:
     return F.translate(token, FROM, TO)
 
 
+def pairs_of(word: Column) -> Column:
+    """All pairs of neighbours, those at even places first."""
+    every_other = lambda w: F.regexp_extract_all(w, F.lit("(?s).."), F.lit(0))
+    return F.concat(every_other(word), every_other(F.substr(word, F.lit(2))))
+
+
 def counted(samples: DataFrame) -> DataFrame:
     """Counts of the class pairs of (token, secret)."""
-    token = classes(F.col("token"))
-    pair = F.explode(F.transform(F.sequence(F.lit(1), F.length(token) - 1), lambda i: F.substr(token, i, F.lit(2))))
+    pair = F.explode(pairs_of(classes(F.col("token"))))
     return samples.where(F.length("token") > 1).select("secret", pair.alias("pair")).groupBy("secret", "pair").count()
 
 
@@ -74,11 +101,19 @@ def ratios(samples: DataFrame) -> list[float]:
 
 def ratio(token: Column, table: list[float]) -> Column:
     """The token's log-likelihood ratio; a pair that occurs again adds no evidence, so repetition is not taken for a secret."""
-    word, known = classes(token), F.array(*map(F.lit, table))
+    known = F.array(*map(F.lit, table))
     at = lambda pair, i: F.position(F.substr(pair, F.lit(i), F.lit(1)), F.lit(CLASSES))
     value = lambda p: F.coalesce(F.get(known, F.when((at(p, 1) > 0) & (at(p, 2) > 0), (at(p, 1) - 1) * len(CLASSES) + at(p, 2) - 1)), F.lit(0.0))
-    pairs = F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(word) - 1), lambda i: F.substr(word, i, F.lit(2))))
-    return F.aggregate(pairs, F.lit(0.0), lambda a, p: a + value(p))
+    return F.aggregate(F.array_distinct(pairs_of(classes(token))), F.lit(0.0), lambda a, p: a + value(p))
+
+
+def untouched(found: Column, base: Column) -> Column:
+    """The spans among ``found`` that no base span touches. Base spans are in order, so most groups of them are passed over whole."""
+    group = lambda part: F.struct(F.array_min(F.transform(part, lambda s: s["start"])).alias("start"), F.array_max(F.transform(part, lambda s: s["end"])).alias("end"), part.alias("spans"))
+    meet = lambda a, b: (a["start"] < b["end"]) & (b["start"] < a["end"])
+    free = lambda of, m: ~F.coalesce(F.exists(of, lambda g: meet(g, m) & F.exists(g["spans"], lambda b: meet(b, m))), F.lit(False))
+    grouped = F.transform(groups(F.size(base)), lambda g: let(F.slice(base, g * GROUP + 1, F.lit(GROUP)), group))
+    return let(grouped, lambda of: F.filter(found, lambda m: free(of, m)))
 
 
 def base_spans(text: Column) -> Column:
@@ -105,7 +140,7 @@ def scan(docs: DataFrame, samples: DataFrame | None = None, least_ratio: float =
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     table = ratios(samples_from(rows, tables) if samples is None else samples)
     text, base = F.col("text"), F.col("base")
-    free = F.filter(spans(text, "random", len(BASE), RUN, 0, 20), lambda m: ~F.exists(base, lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"])) & (ratio(m["part"], table) >= least_ratio))
+    free = F.filter(untouched(spans(text, "random", len(BASE), RUN, 0, 20), base), lambda m: ratio(m["part"], table) >= least_ratio)
     return rows.withColumn("base", base_spans(text)).select("doc_id", "base", F.array_sort(F.concat("base", free)).alias("spans"))
 
 

@@ -134,6 +134,28 @@ def test_secrets(spark):
     assert secrets.scan(table(spark, [])).count() == 0
 
 
+def test_secrets_in_long_texts(spark):
+    """One run of 200,000 characters, and thousands of matches of all kinds, against brute force."""
+    rng = random.Random(4)
+    run = lambda n, of="ABCxyz0189+/_": "".join(rng.choice(of) for _ in range(n))
+    lines = [rng.choice([run(40), run(30, "0123456789abcdef"), f"token={run(9)}", f"😀 AKIA{run(16, 'AB12')}", "ordinary words", f"{run(26, 'abcdef')}{run(20)}"]) for _ in range(4000)]
+    texts = [(1, run(200_000)), (2, "\n".join(lines)), (3, "-" * 50_000)]
+    samples = spark.createDataFrame([(run(40), True) for _ in range(50)] + [("identifier_name", False)] * 50, "token string, secret boolean")
+    weights = dict(zip([a + b for a in secrets.CLASSES for b in secrets.CLASSES], secrets.ratios(samples), strict=True))
+    found = {r.doc_id: r for r in secrets.scan(table(spark, texts), samples).collect()}
+    to_class = str.maketrans(secrets.FROM, secrets.TO)
+    for doc_id, text in texts:
+        base = [(m.start(), k, m.end()) for k, (_, p, g, least) in enumerate(secrets.BASE) for m in re.finditer(p, text) if len(m[g]) >= least]
+        free = []
+        for m in re.finditer(secrets.RUN, text):
+            c = m[0].translate(to_class)
+            if sum(weights[x] for x in {c[i : i + 2] for i in range(len(c) - 1)}) >= secrets.LEAST_RATIO and not any(s < m.end() and m.start() < e for s, _, e in base):
+                free.append((m.start(), len(secrets.BASE), m.end()))
+        assert [(s.start, s.number, s.end) for s in found[doc_id].base] == sorted(base)
+        assert [(s.start, s.number, s.end) for s in found[doc_id].spans] == sorted(base + free)
+    assert len(found[2].base) > 1000 and len(found[2].spans) > len(found[2].base)
+
+
 def test_warc_round_trip_and_pushdown(spark):
     warc.register(spark)
     pages = [(3, "http://a/", "<p>é</p>"), (1, "http://b/\r\nx", "<p>é</p>"), (2, None, None), (5, "u", ""), (7, "u", "y" * 300_000)]
