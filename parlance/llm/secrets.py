@@ -123,7 +123,8 @@ def base_spans(text: Column) -> Column:
 def samples_from(docs: DataFrame, tables: Tables, max_docs: int = MAX_DOCS) -> DataFrame:
     """Labelled samples (token, secret) where none are given: what base spans hold, and identifiers outside them, of at most ``max_docs`` documents."""
     ids = tables.write(docs.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_docs), "sample-ids")
-    some = docs.join(ids, "doc_id", "left_semi").select("text").withColumn("base", base_spans(F.col("text")))
+    # Written, as a filter on what explode() gets would be moved below the join and scan every document.
+    some = tables.write(docs.join(ids, "doc_id", "left_semi").select("text"), "sample-texts").withColumn("base", base_spans(F.col("text")))
     secret = some.select(F.explode("base.part").alias("token"), F.lit(True).alias("secret"))
     plain = F.regexp_extract_all(F.regexp_replace("text", r"[0-9A-Za-z+/_=-]{24,}", " "), F.lit(NAME), F.lit(0))
     return secret.union(some.where(F.size("base") == 0).select(F.explode(plain).alias("token"), F.lit(False).alias("secret")))
