@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parlance.llm.common import new_path
+from parlance.llm.common import new_path, shuffles_freed
 from parlance.llm.decontaminate import contaminations
 from parlance.llm.mixing import copies, label_domains, mixed
 from parlance.llm.signature_tree import near_duplicates
@@ -66,6 +66,8 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for _, stage in STAGES:
         path = new_path(spark, "stage")
-        stage(spark, docs, sf_dir).write.parquet(path)
+        stage_docs = stage(spark, docs, sf_dir)
+        with shuffles_freed(spark):
+            stage_docs.write.parquet(path)
         docs = spark.read.parquet(path)
     return docs

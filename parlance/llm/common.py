@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import xxhash
@@ -37,6 +39,18 @@ def delete_path(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+@contextmanager
+def shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of what is written meanwhile go when it is written, not only when the driver collects garbage."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 class Tables:
     """Tables that a run writes to the shared folder: they cut lineage, survive lost executors, and go when no longer read."""
 
@@ -46,7 +60,8 @@ class Tables:
 
     def write(self, df: DataFrame, name: str) -> DataFrame:
         path = new_path(self.spark, name)
-        df.write.parquet(path)
+        with shuffles_freed(self.spark):
+            df.write.parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         self.paths[id(out)] = path
         return out
