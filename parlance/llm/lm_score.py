@@ -1,28 +1,38 @@
 """Cross-entropy difference of two n-gram models (operator 7).
 
 The target model counts the documents that are labelled good, the background model counts all documents. Both share one
-vocabulary (the ``VOCABULARY`` most frequent words of the corpus, the rest is one unknown word), one order (interpolated bigrams over
-unigrams) and one smoothing. Bigram counts live in ``1 << BUCKET_BITS`` hashed buckets, so a model's size does not depend on the corpus. A
-document's score is the mean over its tokens of background loss minus target loss, in nats: higher is more like the target.
+vocabulary (all words of the corpus), one order (interpolated bigrams over unigrams) and one smoothing. Words and bigrams are
+counted exactly, by 64-bit hashes, in tables that grow with the corpus; no model is gathered in one place. Documents are
+kept in blocks: a block's distinct words and bigrams are counted in the block, summed over all blocks, and those whose sums differ from
+the block's own counts go back to it. A document's score is the mean over its tokens of background loss minus target loss, in nats: higher
+is more like the target.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parlance.llm.common import WordHashes, bounded_batches, column_bytes, mix64, word_hashes
+from parlance.llm.common import _GOLDEN, Tables, WordHashes, bounded_batches, column_bytes, mix64, spread, word_hashes
 
-VOCABULARY, BUCKET_BITS = 1 << 16, 20
 #: Weight of the bigram estimate; count added to each word.
 MIX, ADD = 0.7, 0.1
-#: Tokens that a task holds before it adds them up.
-HOLD = 2_000_000
+#: Tokens and documents of a block, about; rows that a task sums at once.
+HOLD, HOLD_DOCS, ROWS = 1_000_000, 100_000, 200_000
+#: Parts of the hashes that are counted, and of the blocks that are scored, one after another: shuffle files stay small.
+PARTS, SCORE_PARTS = 6, 4
+#: Fixed value: the hash of the start of a document.
+START = 0xD6E8FEB86659FD93
 SCORES = "doc_id bigint, n_tokens bigint, target_loss double, background_loss double, score double"
+BLOCK = "block bigint, ids array<bigint>, sizes binary, target binary, vocabulary binary, words binary, totals array<bigint>"
+GRAM = "gram bigint, block bigint, at int, n int, t int, word boolean"
+COUNT = "block bigint, at int, n bigint, t bigint, first boolean"
 
 
 def document_hashes(raws: list[bytes | None], cache: WordHashes) -> tuple[np.ndarray, np.ndarray]:
@@ -32,125 +42,140 @@ def document_hashes(raws: list[bytes | None], cache: WordHashes) -> tuple[np.nda
     return np.concatenate([word_hashes(w, cache) for w in words]) if len(words) else np.empty(0, np.uint64), sizes
 
 
-def word_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    cache, held, size = WordHashes(), [], 0
+def block_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Documents (doc_id, text, good) to blocks: words are places in the block's sorted vocabulary of hashes."""
+    cache, place = WordHashes(), TaskContext.get().partitionId() << 32
+    held: list[tuple] = []
+    made = size = docs = 0
 
-    def summed() -> pa.RecordBatch:
-        words, counts = np.unique(np.concatenate(held), return_counts=True)
-        return pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(counts)], ["word", "n"])
+    def block() -> pa.RecordBatch:
+        ids = pa.concat_arrays([h[0] for h in held])
+        good, hashes, sizes = (np.concatenate([h[i] for h in held]) for i in (1, 2, 3))
+        vocabulary, words = np.unique(hashes, return_inverse=True)
+        totals = [sizes.sum(), sizes[good].sum(), (sizes > 0).sum(), (sizes[good] > 0).sum()]
+        raw = [x.tobytes() for x in (sizes.astype(np.int64), good, vocabulary, words.astype(np.int32))]
+        lists = [pa.ListArray.from_arrays([0, len(ids)], ids), *(pa.array([x], pa.binary()) for x in raw), pa.array([totals], pa.list_(pa.int64()))]
+        return pa.RecordBatch.from_arrays([pa.array([place + made], pa.int64()), *lists], [x.split()[0] for x in BLOCK.split(", ")])
 
     for batch in batches:
-        raws = column_bytes(batch.column(0))
-        for lo in range(0, len(raws), 1000):
-            held.append(document_hashes(raws[lo : lo + 1000], cache)[0])
-            size += len(held[-1])
-            if size >= HOLD:
-                yield summed()
-                held, size = [], 0
-    if size:
-        yield summed()
-
-
-class Ids:
-    """Word hashes to places in the vocabulary; ``len(vocabulary)`` is the unknown word, one more the start of a document."""
-
-    def __init__(self, vocabulary: np.ndarray):
-        self.vocabulary = vocabulary
-
-    def of(self, hashes: np.ndarray) -> np.ndarray:
-        v = self.vocabulary
-        if not len(v):
-            return np.zeros(len(hashes), np.int64)
-        at = np.minimum(np.searchsorted(v, hashes), len(v) - 1)
-        return np.where(v[at] == hashes, at, len(v))
-
-    def pairs(self, hashes: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Ids, ids before them, buckets of the two."""
-        ids = self.of(hashes)
+        raws, good = column_bytes(batch.column(1)), np.array(batch.column(2).to_pylist(), bool)
+        for lo in range(0, len(raws), 500):
+            held.append((batch.column(0)[lo : lo + 500], good[lo : lo + 500], *document_hashes(raws[lo : lo + 500], cache)))
+            size, docs = size + len(held[-1][2]), docs + len(held[-1][3])
+            if size >= HOLD or docs >= HOLD_DOCS:
+                yield block()
+                held, made, size, docs = [], made + 1, 0, 0
+    if held:
+        yield block()
+
+
+class Block:
+    """A block's tokens, its words and bigrams with their counts in the block, of all documents and of target documents."""
+
+    def __init__(self, row: dict):
+        self.ids = row["ids"]
+        self.sizes, good, self.vocabulary, self.words = (np.frombuffer(row[c], kind) for c, kind in (("sizes", np.int64), ("target", bool), ("vocabulary", np.uint64), ("words", np.int32)))
+        v, ids = len(self.vocabulary), self.words.astype(np.int64)
         before = np.empty_like(ids)
         before[1:] = ids[:-1]
-        starts = (np.cumsum(sizes) - sizes)[sizes > 0]
-        before[starts] = len(self.vocabulary) + 1
-        bucket = mix64((before * (len(self.vocabulary) + 2) + ids).astype(np.uint64)) >> np.uint64(64 - BUCKET_BITS)
-        return ids, before, bucket.astype(np.int64)
+        before[(np.cumsum(self.sizes) - self.sizes)[self.sizes > 0]] = v
+        codes, self.pair = np.unique(before * (v + 1) + ids, return_inverse=True)
+        self.left, self.right = codes // (v + 1), codes % (v + 1)
+        of_target = np.repeat(good, self.sizes)
+        self.counts = [np.concatenate([np.bincount(ids[of], minlength=v), np.bincount(self.pair[of], minlength=len(codes))]) for of in (slice(None), of_target)]
 
+    def grams(self) -> np.ndarray:
+        hashes = np.append(self.vocabulary, np.uint64(START))
+        return np.concatenate([self.vocabulary, mix64(hashes[self.left] * np.uint64(_GOLDEN) + hashes[self.right])])
 
-def count_batches(batches: Iterator[pa.RecordBatch], vocabulary: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Counts by cell: buckets from 0, words from 1 << BUCKET_BITS; of all documents and of target documents."""
-    cache, ids, cells, held = WordHashes(), Ids(vocabulary), (1 << BUCKET_BITS) + len(vocabulary) + 2, 0
-    every, target = np.zeros(cells, np.int64), np.zeros(cells, np.int64)
-    for batch in batches:
-        raws, good = column_bytes(batch.column(0)), np.array(batch.column(1).to_pylist(), bool)
-        for lo in range(0, len(raws), 1000):
-            hashes, sizes = document_hashes(raws[lo : lo + 1000], cache)
-            word, _, bucket = ids.pairs(hashes, sizes)
-            of_target = np.repeat(good[lo : lo + 1000], sizes)
-            at = np.concatenate([bucket, word + (1 << BUCKET_BITS)])
-            for counts, chosen in ((every, at), (target, at[np.concatenate([of_target, of_target])])):
-                cell, n = np.unique(chosen, return_counts=True)
-                counts[cell] += n
-            starts = np.array([(sizes > 0).sum(), (sizes > 0)[good[lo : lo + 1000]].sum()])
-            every[-1] += starts[0]
-            target[-1] += starts[1]
-    found = np.flatnonzero(every)
-    for lo in range(0, len(found), 100_000):
-        cell = found[lo : lo + 100_000]
-        yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(every[cell]), pa.array(target[cell])], ["cell", "background", "target"])
-
-
-class Bigrams:
-    """One model: -log of the interpolated estimate. The last cell counts documents, the context of first words."""
-
-    def __init__(self, counts: np.ndarray):
-        self.pairs, self.words = counts[: 1 << BUCKET_BITS].astype(np.float32), counts[1 << BUCKET_BITS :].astype(np.float64)
-        inner = self.words[:-1]
-        self.single = (inner + ADD) / (inner.sum() + ADD * len(inner))
-
-    def losses(self, ids: np.ndarray, before: np.ndarray, bucket: np.ndarray) -> np.ndarray:
-        context = self.words[before]
-        both = np.minimum(self.pairs[bucket], np.minimum(context, self.words[ids]))
-        seen = both / np.maximum(context, 1)
-        return -np.log(MIX * seen + (1 - MIX * (context > 0)) * self.single[ids])
-
-
-def score_batches(batches: Iterator[pa.RecordBatch], vocabulary: np.ndarray, background: Bigrams, target: Bigrams) -> Iterator[pa.RecordBatch]:
-    cache, ids = WordHashes(), Ids(vocabulary)
-    for batch in batches:
-        doc_ids, raws = batch.column(0), column_bytes(batch.column(1))
-        for lo in range(0, len(raws), 1000):
-            hashes, sizes = document_hashes(raws[lo : lo + 1000], cache)
-            pairs = ids.pairs(hashes, sizes)
-            of = np.repeat(np.arange(len(sizes)), sizes)
-            mean = [np.bincount(of, m.losses(*pairs), len(sizes)) / np.maximum(sizes, 1) for m in (target, background)]
-            yield pa.RecordBatch.from_arrays([doc_ids[lo : lo + 1000], pa.array(sizes), *map(pa.array, mean), pa.array(mean[1] - mean[0])], [x.split()[0] for x in SCORES.split(", ")])
 
+def gram_batches(batches: Iterator[pa.RecordBatch], part: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for row in batch.to_pylist():
+            block = Block(row)
+            grams = block.grams()
+            chosen = np.flatnonzero(mix64(grams) % np.uint64(PARTS) == part).astype(np.int32)
+            for lo in range(0, len(chosen), 50_000):
+                at = chosen[lo : lo + 50_000]
+                columns = [grams[at].view(np.int64), np.full(len(at), row["block"]), at, *(c[at].astype(np.int32) for c in block.counts), at < len(block.vocabulary)]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], [x.split()[0] for x in GRAM.split(", ")])
+
+
+def sum_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sums over rows sorted by gram: of rows that differ from their sums, and of one row (``first``) of each word."""
+    held: list[list[np.ndarray]] = []
+    size, room = 0, ROWS
+
+    def summed(gram, block, at, n, t, word) -> pa.RecordBatch:
+        starts = np.flatnonzero(np.append(True, gram[1:] != gram[:-1]))
+        times = np.diff(np.append(starts, len(gram)))
+        every, target = (np.repeat(np.add.reduceat(c.astype(np.int64), starts), times) for c in (n, t))
+        first = np.zeros(len(gram), bool)
+        first[starts] = True
+        first &= word
+        kept = (every != n) | (target != t) | first
+        return pa.RecordBatch.from_arrays([pa.array(c[kept]) for c in (block, at, every, target, first)], [x.split()[0] for x in COUNT.split(", ")])
 
-def cross_entropy_difference(docs: DataFrame, targets: DataFrame, vocabulary: int = VOCABULARY) -> DataFrame:
+    for batch in batches:
+        held.append([c.to_numpy(zero_copy_only=False) for c in batch.columns])
+        size += batch.num_rows
+        if size >= room:
+            columns = [np.concatenate(c) for c in zip(*held, strict=True)]
+            last = int(np.searchsorted(columns[0], columns[0][-1]))  # the last gram may go on
+            if last:
+                yield summed(*(c[:last] for c in columns))
+            held, size = [[c[last:] for c in columns]], size - last
+            room = ROWS + 2 * size
+    if size:
+        yield summed(*(np.concatenate(c) for c in zip(*held, strict=True)))
+
+
+def score_block(counted: pa.Table, blocks: pa.Table, vocabulary: int, totals: list[int]) -> pa.Table:
+    """Scores of a block's documents. ``totals``: tokens, target tokens, documents with tokens, target documents with tokens."""
+    out = []
+    for row in blocks.to_pylist():
+        block, at = Block(row), counted.column("at").to_numpy()
+        sizes, v = block.sizes, len(block.vocabulary)
+        of = np.repeat(np.arange(len(sizes)), sizes)
+        means = []
+        for name, counts, tokens, starts in (("t", block.counts[1], totals[1], totals[3]), ("n", block.counts[0], totals[0], totals[2])):
+            counts[at] = counted.column(name).to_numpy()
+            single = (counts[:v] + ADD) / (tokens + ADD * max(1, vocabulary))
+            context = np.append(counts[:v], starts)[block.left]
+            losses = -np.log(MIX * counts[v:] / np.maximum(context, 1) + (1 - MIX * (context > 0)) * single[block.right])
+            means.append(np.bincount(of, losses[block.pair], len(sizes)) / np.maximum(sizes, 1))
+        out.append(pa.table([pa.array(block.ids, pa.int64()), pa.array(sizes), *map(pa.array, means), pa.array(means[1] - means[0])], [x.split()[0] for x in SCORES.split(", ")]))
+    return pa.concat_tables(out)
+
+
+def cross_entropy_difference(docs: DataFrame, targets: DataFrame) -> DataFrame:
     """SCORES of each row of ``docs`` (doc_id, text); ``targets`` has the doc_id of target documents.
 
     Defined results: null, empty and blank texts have no tokens, losses and a score of 0; with no target document the target
-    model is uniform; of words that are equally frequent those of the smaller hash come first into the vocabulary; rows that repeat count
-    and are scored each; an empty table gives no rows; further columns are ignored.
+    model is uniform; rows that repeat count and are scored each; an empty table gives no rows; further columns are ignored.
     """
     spark = docs.sparkSession
+    tables = Tables(spark)
     bounded_batches(spark)
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    words = rows.select("text").mapInArrow(word_batches, "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
-    top = words.orderBy(F.desc("n"), "word").limit(vocabulary).select("word").toArrow()
-    known = np.sort(top.column("word").to_numpy().view(np.uint64))
     good = targets.select(F.col("doc_id").cast("bigint").alias("doc_id")).distinct().withColumn("good", F.lit(True))
     # Target ids grow with the documents: never broadcast.
-    labelled = rows.join(good.hint("merge"), "doc_id", "left").select("text", F.coalesce("good", F.lit(False)).alias("good"))
-    cells = labelled.mapInArrow(lambda it: count_batches(it, known), "cell bigint, background bigint, target bigint")
-    cells = cells.groupBy("cell").agg(F.sum("background").alias("background"), F.sum("target").alias("target")).toArrow()
-    models = []
-    for name in ("background", "target"):
-        counts = np.zeros((1 << BUCKET_BITS) + len(known) + 2, np.int64)
-        counts[cells.column("cell").to_numpy()] = cells.column(name).to_numpy()
-        models.append(Bigrams(counts))
-    del cells, counts
-    sent = spark.sparkContext.broadcast((known, *models))
-    return rows.mapInArrow(lambda it: score_batches(it, *sent.value), SCORES)
+    labelled = rows.join(good.hint("merge"), "doc_id", "left").select("doc_id", "text", F.coalesce("good", F.lit(False)).alias("good"))
+    blocks = tables.write(labelled.mapInArrow(block_batches, BLOCK), "blocks")
+    totals = blocks.agg(*[F.coalesce(F.sum(F.col("totals")[i]), F.lit(0)) for i in range(4)]).first()
+    sums = []
+    for part in range(PARTS):
+        grams = blocks.mapInArrow(lambda it: gram_batches(it, part), GRAM)  # noqa: B023
+        sums.append(tables.write(grams.repartition(spread(spark), "gram").sortWithinPartitions("gram").mapInArrow(sum_batches, COUNT), "counts"))
+    counted = reduce(DataFrame.unionByName, sums)
+    vocabulary, totals = counted.where("first").count(), list(totals)
+    score = lambda counts, of: score_block(counts, of, vocabulary, totals)
+    scores = []
+    for part in range(SCORE_PARTS):
+        counts, of = (x.where(F.pmod(F.xxhash64("block"), F.lit(SCORE_PARTS)) == part).groupBy("block") for x in (counted.select("block", "at", "n", "t"), blocks))
+        scores.append(tables.write(counts.cogroup(of).applyInArrow(score, SCORES), "scores"))
+    tables.drop(blocks, *sums)
+    return reduce(DataFrame.unionByName, scores)
 
 
 def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,6 +6,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -248,6 +249,48 @@ def test_cross_entropy_difference(spark):
     assert lm_score.cross_entropy_difference(table(spark, []), spark.createDataFrame([], "doc_id bigint")).count() == 0
 
 
+def test_cross_entropy_difference_counts_exactly(spark):
+    rng = random.Random(8)
+    texts = [(i, words(rng, 150)) for i in range(1100)] + [(7, "again and again and"), (None, "no id"), *EDGE]
+    targets = set(range(0, 1100, 3))
+    got = lm_score.cross_entropy_difference(table(spark, texts), spark.createDataFrame([(i,) for i in targets], "doc_id bigint")).collect()
+    single, pair, context = ([defaultdict(int) for _ in range(2)] for _ in range(3))
+    split = [(i, [None, *(t or "").split()]) for i, t in texts]
+    for i, w in split:
+        for m in range(1 + (i in targets)):
+            for a, b in zip(w, w[1:]):
+                single[m][b] += 1
+                pair[m][a, b] += 1
+            if len(w) > 1:
+                context[m][None] += 1
+    assert len(single[0]) > 1 << 16 and len(pair[0]) > 1 << 17
+
+    def loss(m, w):
+        total = sum(single[m].values())
+        each = []
+        for a, b in zip(w, w[1:]):
+            before = context[m][None] if a is None else single[m][a]
+            one = (single[m][b] + lm_score.ADD) / (total + lm_score.ADD * len(single[0]))
+            each.append(-np.log((lm_score.MIX * pair[m][a, b] / before + (1 - lm_score.MIX) * one) if before else one))
+        return float(np.mean(each)) if each else 0.0
+
+    key = lambda x: (x[0] is None, x[0] or 0, x[1])
+    chosen = {1, 2, 3, 7, 907, None, *(i for i, _ in EDGE)}
+    expected = sorted(((i, len(w) - 1, loss(1, w), loss(0, w)) for i, w in split if i in chosen), key=key)
+    found = sorted((tuple(r)[:4] for r in got if r.doc_id in chosen), key=key)
+    assert len(got) == len(texts) and [x[:2] for x in found] == [x[:2] for x in expected]
+    assert np.allclose([x[2:] for x in found], [x[2:] for x in expected])
+
+
+def test_sums_of_grams_that_go_over_batches(monkeypatch):
+    monkeypatch.setattr(lm_score, "ROWS", 4)
+    rows = [(g, b, g, 1, b % 2, g < 3) for g in range(6) for b in range([1, 2, 9, 1, 7, 1][g])]
+    batches = [pa.RecordBatch.from_arrays(list(map(pa.array, zip(*rows[lo : lo + 3]))), [x.split()[0] for x in lm_score.GRAM.split(", ")]) for lo in range(0, len(rows), 3)]
+    got = sorted(tuple(r.values()) for b in lm_score.sum_batches(iter(batches)) for r in b.to_pylist())
+    size = {g: [r for r in rows if r[0] == g] for g in range(6)}
+    assert got == sorted((b, g, len(size[g]), sum(r[4] for r in size[g]), w and b == 0) for g, b, _, _, _, w in rows if len(size[g]) > 1 or w)
+
+
 def test_mixing(spark):
     rng = random.Random(6)
     vocabulary = {d: [words(rng, 1) for _ in range(40)] for d in ("en", "de")}
