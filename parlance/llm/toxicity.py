@@ -1,7 +1,7 @@
 """Toxicity with noisy-channel deobfuscation (operator 8).
 
 Writers hide words: leetspeak, letters spaced out, letters repeated. Each such piece of a text becomes a lattice of the
-letters that it may stand for; a Viterbi search finds the reading of least cost under a character trigram model and the
+letters that it may stand for, where a space between single letters may end a word or mean nothing; a Viterbi search finds the reading of least cost under a character trigram model and the
 channel's costs. A piece without any such sign has a single path, so only the others are searched. The restored words
 are then scored by a logistic model over words and word beginnings.
 
@@ -31,6 +31,8 @@ BEGINNINGS = (4, 5, 6, 7)
 LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "il", "|": "il", "+": "t", "(": "c", "€": "e", "£": "l", "*": "aeiou"}
 #: Costs in nats: a sign for a letter, a letter repeated, a sign that means nothing.
 SIGN, REPEAT, NOTHING = 1.0, 2.0, 8.0
+#: Cost of a space between spaced letters that ends a word.
+BOUNDARY = 1.0
 #: Longer pieces hold no word and stay as they are.
 LONGEST = 24
 _SPACED = re.compile(r"(?<![^\s.,;:!?\"'])[^\W_](?:[ ._*-]{1,2}[\w@$!|+]){2,}(?![\w@$!|+])")
@@ -41,33 +43,45 @@ _JOIN = re.compile(r"[ ._*-]+")
 
 
 def decode(piece: str, model: dict[str, float]) -> str:
-    """The reading of least cost. ``model``: costs of trigrams, and of the others under an empty key."""
+    """The reading of least cost. ``model``: costs of trigrams, and of the others under an empty key. A space in the piece is the end of a word or nothing."""
     lattice: list[list[tuple[str, float]]] = []
+    letter = ""
     for c, run in groupby(piece):
         size = len(list(run))
+        if c == " ":
+            lattice.append([("", 0.0), (" ", BOUNDARY)])
+            continue
         if c.isalpha():
             options = [(c * size, 0.0)]
             if size > 1:
                 options.append((c, REPEAT))
             if size > 2:
                 options.append((c * 2, REPEAT))
+            if c == letter:  # the same letter before a space
+                options.append(("", REPEAT))
         else:
             options = [("", NOTHING)] + [(x * k, SIGN * k + REPEAT * (k != size)) for x in LEET.get(c, "") for k in {1, min(size, 2)}]
+        letter = c
         lattice.append(options)
     other = model[""]
-    best = {"  ": (0.0, "")}
+    # A state's reading is a chain of (before, letters), so that a step does not copy it.
+    best: dict[str, tuple[float, tuple | None]] = {"  ": (0.0, None)}
     for options in [*lattice, [(" ", 0.0)]]:
-        now: dict[str, tuple[float, str]] = {}
+        now: dict[str, tuple[float, tuple | None]] = {}
         for state, (cost, text) in best.items():
             for letters, price in options:
                 s, total = state, cost + price
                 for x in letters:
                     total += model.get(s + x, other)
-                    s = s[1] + x
+                    s = "  " if x == " " else s[1] + x
                 if s not in now or total < now[s][0]:
-                    now[s] = (total, text + letters)
+                    now[s] = (total, (text, letters) if letters else text)
         best = now
-    return min(best.values())[1].strip()
+    text, out = min(best.values(), key=lambda v: v[0])[1], []
+    while text:
+        text, letters = text
+        out.append(letters)
+    return "".join(reversed(out)).strip()
 
 
 class Restorer(dict):
@@ -94,9 +108,8 @@ class Restorer(dict):
     def words(self, text: str) -> list[str]:
         out = [self[w] for w in text.split()]
         for m in _SPACED.finditer(text):
-            joined = _JOIN.sub("", m[0])
-            if 3 <= len(joined) <= LONGEST:
-                out.append(self[joined])
+            out.append(self[_JOIN.sub("", m[0])])
+            out += [self[w] for w in decode(_JOIN.sub(" ", m[0].lower()), self.model).split()]
         return out
 
 

@@ -239,6 +239,22 @@ def test_toxicity(spark):
     assert toxicity.scored(table(spark, []), model).count() == 0
 
 
+COMMON = "you are a an and the fool is this stupid moron idiot shit asshole ass hole man what said they were not here some of his in that it good house".split()
+
+
+def restorer():
+    counts = defaultdict(int)
+    for w in COMMON:
+        for i in range(len(w) + 1):
+            counts[f"  {w} "[i : i + 3]] += 20
+    return toxicity.Restorer(toxicity.trigram_costs(counts))
+
+
+def test_spaced_letters_are_cut_into_words():
+    for text, word in [("you are a m o r o n", "moron"), ("y o u i d i o t", "idiot"), ("y o u a r e a s t u p i d m o r o n a n d t h e i d i o t", "stupid"), ("y.o.u m 0 r 0 n", "moron"), ("s t u u u p i d", "stupid")]:
+        assert word in restorer().words(text), text
+
+
 def test_cross_entropy_difference(spark):
     rng = random.Random(5)
     a, b = [words(rng, 1) for _ in range(30)], [words(rng, 1) for _ in range(30)]
