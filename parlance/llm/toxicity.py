@@ -33,8 +33,8 @@ LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "
 SIGN, REPEAT, NOTHING = 1.0, 2.0, 8.0
 #: Cost of a space between spaced letters that ends a word.
 BOUNDARY = 1.0
-#: Longer pieces hold no word and stay as they are.
-LONGEST = 24
+#: Costs of a sign at a word's edge that means nothing: any, and an exclamation mark or the like at the end.
+EDGE_NOTHING, MARK = 4.0, 0.5
 _SPACED = re.compile(r"(?<![^\s.,;:!?\"'])[^\W_](?:[ ._*-]{1,2}[\w@$!|+]){2,}(?![\w@$!|+])")
 _REPEAT = re.compile(r"([^\W\d_])\1\1")
 _SIGN = re.compile(r"[0-9@$!|+(€£*]")
@@ -45,9 +45,12 @@ _JOIN = re.compile(r"[ ._*-]+")
 def decode(piece: str, model: dict[str, float]) -> str:
     """The reading of least cost. ``model``: costs of trigrams, and of the others under an empty key. A space in the piece is the end of a word or nothing."""
     lattice: list[list[tuple[str, float]]] = []
-    letter = ""
+    letter, left = "", len(piece)
+    inside = [i for i, c in enumerate(piece) if c.isalpha()]
     for c, run in groupby(piece):
         size = len(list(run))
+        start = len(piece) - left
+        left -= size
         if c == " ":
             lattice.append([("", 0.0), (" ", BOUNDARY)])
             continue
@@ -60,7 +63,9 @@ def decode(piece: str, model: dict[str, float]) -> str:
             if c == letter:  # the same letter before a space
                 options.append(("", REPEAT))
         else:
-            options = [("", NOTHING)] + [(x * k, SIGN * k + REPEAT * (k != size)) for x in LEET.get(c, "") for k in {1, min(size, 2)}]
+            edge = bool(inside) and not inside[0] < start < inside[-1]
+            none = NOTHING if not edge else MARK if c in "!|+" and start > inside[-1] else EDGE_NOTHING
+            options = [("", none)] + [(x * k, SIGN * k + REPEAT * (k != size)) for x in LEET.get(c, "") for k in {1, min(size, 2)}]
         letter = c
         lattice.append(options)
     other = model[""]
@@ -93,13 +98,8 @@ class Restorer(dict):
 
     def __missing__(self, word: str) -> str:
         w = word.lower().strip(_EDGE)
-        letters = sum(map(str.isalpha, w))
-        if _SIGN.search(w):
-            bare = w.strip("!$|+0123456789@€£")
-            w = w.rstrip("!|+")
-            if 2 <= letters and letters * 3 >= len(w) and len(w) <= LONGEST and _SIGN.search(w):
-                w = bare if bare.isalpha() and len(w) - len(bare) > 1 and not _REPEAT.search(bare) else decode(w, self.model)
-        elif letters >= 3 and len(w) <= LONGEST and _REPEAT.search(w):
+        # Without a letter it is a number or a sign.
+        if any(map(str.isalpha, w)) and (_SIGN.search(w) or _REPEAT.search(w)):
             w = decode(w, self.model)
         if len(self) < self.room:
             self[word] = w

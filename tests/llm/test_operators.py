@@ -255,6 +255,13 @@ def test_spaced_letters_are_cut_into_words():
         assert word in restorer().words(text), text
 
 
+def test_signs_and_repeats_of_any_share_and_length_are_decoded():
+    r = restorer()
+    for written, word in [("5h17", "shit"), ("1d107", "idiot"), ("a$$", "ass"), ("57upid", "stupid"), ("@$$hole", "asshole"), ("iiiiidddddiiiiioooootttttt", "idiot"), ("idiooot!", "idiot"), ("moron!!", "moron"), ("2024", "2024")]:
+        assert r[written] == word, written
+    assert len(r["a1" * 50_000]) <= 100_000
+
+
 def test_cross_entropy_difference(spark):
     rng = random.Random(5)
     a, b = [words(rng, 1) for _ in range(30)], [words(rng, 1) for _ in range(30)]
