@@ -8,6 +8,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,11 +21,12 @@ WORD_BREAK = r"[\x20\x09-\x0D]+"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors see; a temporary one where the session names none."""
+    """The folder that the driver and all executors see. A session of one machine that names none, as in tests, gets a temporary one."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named is None:
-        named = f"file://{tempfile.mkdtemp(prefix='parlance-')}"
-        spark.sparkContext.setCheckpointDir(named)
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        spark.sparkContext.setCheckpointDir(f"file://{tempfile.mkdtemp(prefix='parlance-')}")
         named = spark.sparkContext.getCheckpointDir()
     return named.rstrip("/")
 
@@ -56,20 +58,20 @@ class Tables:
 
     def __init__(self, spark: SparkSession):
         self.spark = spark
-        self.paths: dict[int, str] = {}
+        self.written: dict[int, tuple[DataFrame, str]] = {}
 
     def write(self, df: DataFrame, name: str) -> DataFrame:
         path = new_path(self.spark, name)
         with shuffles_freed(self.spark):
             df.write.parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
-        self.paths[id(out)] = path
+        self.written[id(out)] = (out, path)
         return out
 
     def drop(self, *tables: DataFrame) -> None:
         for t in tables:
-            if path := self.paths.pop(id(t), None):
-                delete_path(self.spark, path)
+            if found := self.written.pop(id(t), None):
+                delete_path(self.spark, found[1])
 
 
 def bounded_batches(spark: SparkSession, rows: int = 2000) -> None:
@@ -127,34 +129,65 @@ def shingles(raw: bytes | None, k: int, cache: WordHashes) -> np.ndarray:
 
 def column_bytes(column) -> list[bytes | None]:
     """A batch's string column as UTF-8 bytes."""
-    import pyarrow as pa
-
     return column.cast(pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()).to_pylist()
 
 
+#: Edges that one task contracts by itself, at most: 16 bytes each.
+LAST_EDGES = 1 << 14
+
+
+def contracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Edges (a, b) to (u, to): the least id that each is connected with."""
+    to: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while (y := to.setdefault(x, x)) != x:
+            to[x] = to[y]
+            x = y
+        return x
+
+    for batch in batches:
+        for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            a, b = root(a), root(b)
+            to[max(a, b)] = min(a, b)
+    ids = list(to)
+    yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([root(x) for x in ids], pa.int64())], ["u", "to"])
+
+
 def components(edges: DataFrame, tables: Tables) -> DataFrame:
     """Connected components of the graph of ``edges`` (a, b): one row (id, component) for each id in an edge; component is the smallest id.
 
     Randomised contraction: in each round every vertex merges into the neighbour (or itself) of least random
     priority; edges are rewritten between the merged vertices. The count of vertices falls by a constant factor
-    a round, also along chains, and a hub's edges collapse at once. Each round is a written table.
+    a round, also along chains, and a hub's edges collapse at once. Each round is a written table. ``LAST_EDGES`` edges and fewer are
+    contracted by one task at once.
     """
     e = tables.write(edges.where(F.col("a") != F.col("b")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "cc-edges")
     label = e.select(F.explode(F.array("a", "b")).alias("id")).distinct().withColumn("component", F.col("id"))
-    label, turn, old = tables.write(label, "cc-labels"), 0, []
-    while not e.isEmpty():
+    label, turn = tables.write(label, "cc-labels"), 0
+    while (left := e.count()) > 0:
         turn += 1
-        both = e.select(F.col("a").alias("u"), F.col("b").alias("v")).union(e.select("b", "a"))
-        rank = lambda c: F.struct(F.xxhash64(F.lit(turn), c).alias("rank"), c.alias("id"))  # noqa: B023, E731
-        least = both.groupBy("u").agg(F.min(rank(F.col("v"))).alias("least"))
-        to = tables.write(least.select("u", F.least("least", rank(F.col("u")))["id"].alias("to")), "cc-merge")
+        if left <= LAST_EDGES:
+            merged = e.coalesce(1).mapInArrow(contracted, "u bigint, to bigint")
+        else:
+            both = e.select(F.col("a").alias("u"), F.col("b").alias("v")).union(e.select("b", "a"))
+            rank = lambda c: F.struct(F.xxhash64(F.lit(turn), c).alias("rank"), c.alias("id"))  # noqa: B023, E731
+            least = both.groupBy("u").agg(F.min(rank(F.col("v"))).alias("least"))
+            merged = least.select("u", F.least("least", rank(F.col("u")))["id"].alias("to"))
+        to = tables.write(merged, "cc-merge")
         at = lambda c: to.select(F.col("u").alias(c), F.col("to").alias(f"{c}_to"))  # noqa: B023, E731
         moved = label.withColumnRenamed("component", "c").join(at("c"), "c", "left").select("id", F.coalesce("c_to", "c").alias("component"))
         moved = tables.write(moved, "cc-labels")
-        left = e.join(at("a"), "a").join(at("b"), "b").where("a_to <> b_to").select(F.least("a_to", "b_to").alias("a"), F.greatest("a_to", "b_to").alias("b")).distinct()
-        left = tables.write(left, "cc-edges")
+        if left <= LAST_EDGES:
+            tables.drop(label, to)
+            label = moved
+            break
+        kept = e.join(at("a"), "a").join(at("b"), "b").where("a_to <> b_to").select(F.least("a_to", "b_to").alias("a"), F.greatest("a_to", "b_to").alias("b")).distinct()
+        kept = tables.write(kept, "cc-edges")
         tables.drop(e, label, to)
-        e, label = left, moved
+        e, label = kept, moved
     tables.drop(e)
     least = label.groupBy("component").agg(F.min("id").alias("least"))
-    return label.join(least, "component").select("id", F.col("least").alias("component"))
+    out = tables.write(label.join(least, "component").select("id", F.col("least").alias("component")), "cc-components")
+    tables.drop(label)
+    return out

@@ -2,21 +2,26 @@
 
 The tree's upper levels are dealt over the cluster, its lower levels live in one task at a time:
 
-* top: a node for each token. Under one global order of tokens two sets with Jaccard of at least t share a token among
-  their first ``n - ceil(t n) + 1``, so node pairs that share no such token have a maximum overlap below the
-  threshold, and an equi-join on tokens visits all others. Tokens of very many documents go last in that order, so a
+* top: a node for each token and band of set sizes. Under one global order of tokens two sets with Jaccard of at least t share a
+  token among their first ``n - ceil(t n) + 1``, and their sizes lie in the same or in neighbouring bands, so all node pairs
+  that share no such node have a maximum overlap below the threshold. Tokens of very many documents go last in that order, so a
   passage that many documents share opens no large node unless a document has little else.
-* below: blocks of bounded size; pairs of blocks of one token are visited in tasks of their own.
-* in a task: leaves and inner nodes with OR-combined token bitmaps and size ranges; a dual traversal drops node pairs
-  whose sizes are too far apart or whose common bits allow too little overlap.
+* a node's head is its member of least hash. Nodes of one head and band are one node: tokens of one passage or of one
+  group of copies have about the same members, hence mostly the same head, and their members meet once and not once a token.
+* below: blocks of bounded size; pairs of blocks of one node are visited in tasks of their own.
+* in a task: leaves and inner nodes with OR-combined token bitmaps, size ranges and ranges of components; a dual traversal drops
+  node pairs whose sizes are too far apart, whose common bits allow too little overlap or that are of one component. Bitmaps have
+  at least two bits a token, so long documents are told apart as well as short ones; neighbours in a tree are alike in content.
 
 What is left is compared exactly, on whole sets. Members of one component need no further comparison (classes are what
-is asked for), so a first round links each document to a few likely partners and the tree only looks for pairs between
-components; no link between different components is lost.
+is asked for), so a first round compares each member with its head, a second one a few pairs that cover each large node, and the
+last one all pairs left between components; no link between different components is lost. Pairs compared grow with the documents that are
+alike but below the threshold, not with the square of a group.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from fractions import Fraction
 
@@ -28,15 +33,18 @@ from pyspark.sql import functions as F
 
 from parlance.llm.common import Tables, WordHashes, bounded_batches, column_bytes, components, shingles
 
+#: Bits of the smallest bitmap; a larger set has the next power of two of twice its size.
 BITS = 1024
-#: Bits for the documents of pairs that the trees leave over, so that long documents are told apart too.
-WIDE_BITS = 1 << 14
 #: Token counts from which a token goes last in the order, and how many such tokens may: 8 bytes each are broadcast.
 HOT_COUNT, HOT_TOKENS = 64, 1 << 17
-#: Members of a block, of a leaf; children of a node.
-BLOCK, LEAF, FAN = 1024, 16, 4
-#: Runs of at most so many members are compared directly, many runs at once: a tree over them would be one leaf.
-SMALL = 32
+#: Members of a block; children of a node.
+BLOCK, FAN = 2048, 8
+#: Members from which a node is first covered by a few pairs.
+COVERED = 32
+#: Rows, and bytes of them, whose trees a task visits at once; pairs that a step of a traversal makes.
+ROWS, BYTES, PAIRS = 8192, 1 << 26, 1 << 19
+#: Classes whose texts are looked up by a broadcast: 64 bytes each at most; more by a shuffle.
+MAX_SENT = 1 << 18
 FEATURES = "doc_id bigint, n bigint, p int, set_hash binary, tokens array<bigint>, bits binary"
 
 
@@ -53,21 +61,27 @@ def ordered(sets: np.ndarray, hot: np.ndarray | None) -> np.ndarray:
     return np.concatenate([sets[~is_hot], sets[is_hot]])
 
 
+def bitmap(s: np.ndarray) -> bytes:
+    """The set's bitmap, packed: of the low bits of its hashes, so that halves can be folded onto each other."""
+    size = max(BITS, 1 << (2 * len(s) - 1).bit_length())
+    bits = np.zeros(size, np.uint8)
+    bits[(s & np.uint64(size - 1)).astype(np.int64)] = 1
+    return np.packbits(bits).tobytes()
+
+
 def feature_batches(batches: Iterator[pa.RecordBatch], k: int, percent: int, hot=None) -> Iterator[pa.RecordBatch]:
     cache = WordHashes()
     hot = hot.value if hot is not None else None
     for batch in batches:
         ids, texts = batch.column(0).to_pylist(), column_bytes(batch.column(1))
-        for lo in range(0, len(ids), 2000):
+        for lo in range(0, len(ids), 1000):
             rows: list[list] = [[], [], [], [], [], []]
-            for doc_id, raw in zip(ids[lo : lo + 2000], texts[lo : lo + 2000], strict=True):
+            for doc_id, raw in zip(ids[lo : lo + 1000], texts[lo : lo + 1000], strict=True):
                 s = shingles(raw, k, cache)
                 n = len(s)
                 p = prefix_length(n, percent) if n else 0
-                kept = ordered(s, hot)[: p if hot is not None else max(2 * p + 16, 64)]
-                bits = np.zeros(BITS, np.uint8)
-                bits[(s & np.uint64(BITS - 1)).astype(np.int64)] = 1
-                for column, value in zip(rows, (doc_id, n, p, xxhash.xxh3_128_digest(s.tobytes()) if n else None, kept.view(np.int64), np.packbits(bits).tobytes()), strict=True):
+                kept = ordered(s, hot)[: p if hot is not None else p + p // 4 + 16]
+                for column, value in zip(rows, (doc_id, n, p, xxhash.xxh3_128_digest(s.tobytes()) if n else None, kept.view(np.int64), bitmap(s) if n else None), strict=True):
                     column.append(value)
             lengths = np.cumsum([0, *(len(x) for x in rows[4])])
             tokens = pa.ListArray.from_arrays(pa.array(lengths, pa.int32()), pa.array(np.concatenate(rows[4]) if rows[4] else np.empty(0, np.int64)))
@@ -75,7 +89,7 @@ def feature_batches(batches: Iterator[pa.RecordBatch], k: int, percent: int, hot
 
 
 def reordered(batches: Iterator[pa.RecordBatch], hot) -> Iterator[pa.RecordBatch]:
-    """(doc_id, n, p, tokens) to the first p tokens of the order with hot tokens last; null where the tokens kept do not tell."""
+    """(id, n, p, tokens) to the first p tokens of the order with hot tokens last; null where the tokens kept do not tell."""
     for batch in batches:
         out = []
         for n, p, tokens in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), batch.column(3), strict=True):
@@ -84,21 +98,28 @@ def reordered(batches: Iterator[pa.RecordBatch], hot) -> Iterator[pa.RecordBatch
             at = np.minimum(np.searchsorted(hot.value, kept), len(hot.value) - 1)
             cool = len(kept) - int((hot.value[at] == kept).sum())
             out.append(now[:p].view(np.int64) if cool >= p or len(kept) >= n else None)
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array(out, pa.list_(pa.int64()))], ["doc_id", "n", "p", "tokens"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.list_(pa.int64()))], ["id", "n", "tokens"])
+
+
+def prefix_batches(batches: Iterator[pa.RecordBatch], percent: int, hot) -> Iterator[pa.RecordBatch]:
+    """(id, set) to the first tokens of the order with hot tokens last."""
+    for batch in batches:
+        sets = [np.asarray(s.values, np.int64).view(np.uint64) for s in batch.column(1)]
+        out = [ordered(s, hot.value)[: prefix_length(len(s), percent)].view(np.int64) for s in sets]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(out, pa.list_(pa.int64()))], ["id", "n", "tokens"])
 
 
 def set_batches(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
+    """(id, set_hash, text) to the whole sets (id, set) of the texts that have that hash: rows that repeat a doc_id may have others."""
     cache = WordHashes()
     for batch in batches:
-        ids, texts = batch.column(0).to_pylist(), column_bytes(batch.column(1))
+        ids, hashes, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist(), column_bytes(batch.column(2))
         for lo in range(0, len(ids), 1000):
-            sets = [shingles(raw, k, cache).view(np.int64) for raw in texts[lo : lo + 1000]]
-            values = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, sets)]), pa.int32()), pa.array(np.concatenate(sets)))
-            bits = np.zeros((len(sets), WIDE_BITS), np.uint8)
-            for row, s in zip(bits, sets, strict=True):
-                row[(s >> 10) & (WIDE_BITS - 1)] = 1
-            wide = pa.array([x.tobytes() for x in np.packbits(bits, 1)], pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(ids[lo : lo + 1000], pa.int64()), values, wide], ["doc_id", "set", "bits"])
+            sets = [shingles(raw, k, cache) for raw in texts[lo : lo + 1000]]
+            right = [i for i, s in enumerate(sets) if xxhash.xxh3_128_digest(s.tobytes()) == hashes[lo + i]]
+            values = np.concatenate([sets[i] for i in right] or [np.empty(0, np.uint64)]).view(np.int64)
+            lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *(len(sets[i]) for i in right)]), pa.int32()), pa.array(values))
+            yield pa.RecordBatch.from_arrays([pa.array([ids[lo + i] for i in right], pa.int64()), lists], ["id", "set"])
 
 
 def needed(sizes, percent: int):
@@ -106,60 +127,78 @@ def needed(sizes, percent: int):
     return -(-percent * sizes // (100 + percent))
 
 
-class Tree:
-    """Nodes over documents sorted by size: levels[0] are the documents, each level above combines ``FAN`` (first ``LEAF``) nodes."""
-
-    def __init__(self, n: np.ndarray, bits: np.ndarray):
-        self.levels = [(n, n, bits, np.bitwise_count(bits).sum(1, dtype=np.int64))]
-        step = LEAF
-        while len(self.levels) == 1 or len(self.levels[-1][0]) > 1:
-            low, high, b, spare = self.levels[-1]
-            cut = np.arange(0, len(low), step)
-            if len(self.levels) == 1:
-                spare = n - spare  # tokens of a document beyond one a bit
-            self.levels.append((np.minimum.reduceat(low, cut), np.maximum.reduceat(high, cut), np.bitwise_or.reduceat(b, cut, 0), np.maximum.reduceat(spare, cut)))
-            step = FAN
-
-
-def traverse(one: Tree, other: Tree, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Index pairs of documents that sizes and bitmaps do not rule out. Both trees walk down together."""
-    top = max(len(one.levels), len(other.levels)) - 1
-    at = lambda t, level: t.levels[min(level, len(t.levels) - 1)]
-    x = y = np.zeros(1, np.int64)
-    for level in range(top, -1, -1):
-        (low_x, high_x, bits_x, spare_x), (low_y, high_y, bits_y, spare_y) = at(one, level), at(other, level)
-        if level < top:
-            x, y = expand(one, other, level, x, y)
-        kept = []
-        for lo in range(0, len(x), 1 << 16):
-            i, j = x[lo : lo + (1 << 16)], y[lo : lo + (1 << 16)]
-            fits = (100 * high_x[i] >= percent * low_y[j]) & (100 * high_y[j] >= percent * low_x[i])
-            i, j = i[fits], j[fits]
-            common = np.bitwise_count(bits_x[i] & bits_y[j]).sum(1, dtype=np.int64)
-            extra_x, extra_y = (one.levels[0][0][i] - spare_x[i], other.levels[0][0][j] - spare_y[j]) if level == 0 else (spare_x[i], spare_y[j])
-            most = np.minimum(common + np.minimum(extra_x, extra_y), np.minimum(high_x[i], high_y[j]))
-            if level == 0:  # a bit of one alone stands for a token of one alone
-                most = np.minimum(most, np.minimum(low_x[i] - (spare_x[i] - common), low_y[j] - (spare_y[j] - common)))
-            fits = most >= needed(low_x[i] + low_y[j], percent)
-            kept.append((i[fits], j[fits]))
-        x, y = (np.concatenate(z) for z in zip(*kept, strict=True)) if kept else (x[:0], y[:0])
-    return x, y
-
-
-def expand(one: Tree, other: Tree, level: int, x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """All pairs of children, at ``level``, of node pairs one level above; a tree that has no such level stays at its root."""
-
-    def spans(t: Tree, node: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        if level >= len(t.levels) - 1:
-            return np.zeros_like(node), np.ones_like(node)
-        step = LEAF if level == 0 else FAN
-        return node * step, np.minimum(len(t.levels[level][0]) - node * step, step)
-
-    (a, la), (b, lb) = spans(one, x), spans(other, y)
-    count = la * lb
-    k = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-    width = np.repeat(lb, count)
-    return np.repeat(a, count) + k // width, np.repeat(b, count) + k % width
+def folded(bits: np.ndarray, size: int) -> np.ndarray:
+    """Rows of 64-bit words of wider bitmaps as bitmaps of ``size`` bits."""
+    return np.bitwise_or.reduce(bits.reshape(len(bits), -1, size // 64), axis=1)
+
+
+class Forest:
+    """Trees over members that are sorted by ``tree``. levels[0] are the members; each level above combines up to ``FAN`` nodes of one tree, until each tree is one node.
+
+    A level is (low, high: sizes; bits; spare: tokens beyond one a bit, at most; first, last: components; start, count: children).
+    """
+
+    def __init__(self, tree: np.ndarray, n: np.ndarray, bits: np.ndarray, component: np.ndarray):
+        none = np.zeros(len(n), np.int64)
+        self.levels = [(n, n, bits, n - np.bitwise_count(bits).sum(1, dtype=np.int64), component, component, none, none)]
+        while True:
+            starts = np.flatnonzero(np.r_[True, tree[1:] != tree[:-1]])
+            sizes = np.diff(np.r_[starts, len(tree)])
+            if sizes.max() == 1:
+                self.roots = dict(zip(tree.tolist(), range(len(tree)), strict=True))
+                return
+            within = np.arange(len(tree)) - np.repeat(starts, sizes)
+            cut = np.flatnonzero(within % FAN == 0)
+            low, high, b, spare, first, last, _, _ = self.levels[-1]
+            at = lambda how, x: how.reduceat(x, cut, 0)  # noqa: B023, E731
+            self.levels.append((at(np.minimum, low), at(np.maximum, high), at(np.bitwise_or, b), at(np.maximum, spare), at(np.minimum, first), at(np.maximum, last), cut, np.diff(np.r_[cut, len(tree)])))
+            tree = tree[cut]
+
+
+def sieve(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """Pairs (a, b, n_a, n_b, bits_a, bits_b) that their bitmaps do not rule out."""
+    for batch in batches:
+        n_a, n_b = batch.column("n_a").to_numpy(), batch.column("n_b").to_numpy()
+        bits = [batch.column(c).to_pylist() for c in ("bits_a", "bits_b")]
+        widths = np.array([[len(x) // 8 for x in side] for side in bits], np.int64).reshape(2, -1)
+        fits = np.zeros(len(n_a), bool)
+        for one, other in np.unique(widths, axis=1).T.tolist():
+            at = np.flatnonzero((widths[0] == one) & (widths[1] == other))
+            x, y = (folded(np.frombuffer(b"".join([side[i] for i in at.tolist()]), np.uint64).reshape(len(at), -1), 64 * min(one, other)) for side in bits)
+            only_x, only_y = (np.bitwise_count(z).sum(1, dtype=np.int64) for z in (x & ~y, y & ~x))
+            fits[at] = np.minimum(n_a[at] - only_x, n_b[at] - only_y) >= needed(n_a[at] + n_b[at], percent)
+        yield batch.select(["a", "b"]).filter(pa.array(fits))
+
+
+def traverse(one: Forest, other: Forest, x: np.ndarray, y: np.ndarray, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Index pairs of members below the pairs of roots (x, y) that components, sizes and bitmaps do not rule out. Both forests are walked down together."""
+    same = one is other
+    todo = [(max(len(one.levels), len(other.levels)) - 1, x, y)]
+    while todo:
+        level, x, y = todo.pop()
+        a, b = (f.levels[min(level, len(f.levels) - 1)] for f in (one, other))
+        fits = (100 * a[1][x] >= percent * b[0][y]) & (100 * b[1][y] >= percent * a[0][x])
+        fits &= (a[4][x] != b[5][y]) | (a[5][x] != b[4][y])  # not all of one component
+        if same:
+            fits &= (x <= y) if level else (x < y)
+        x, y = x[fits], y[fits]
+        common = np.bitwise_count(a[2][x] & b[2][y]).sum(1, dtype=np.int64)
+        most = np.minimum(common + np.minimum(a[3][x], b[3][y]), np.minimum(a[1][x], b[1][y]))
+        fits = most >= needed(a[0][x] + b[0][y], percent)
+        x, y = x[fits], y[fits]
+        if not level:
+            if len(x):
+                yield x, y
+            continue
+        spans = [(f.levels[level][6][z], f.levels[level][7][z]) if level < len(f.levels) else (z, np.ones_like(z)) for f, z in ((one, x), (other, y))]
+        (start_x, count_x), (start_y, count_y) = spans
+        count = count_x * count_y
+        step = max(1, PAIRS // FAN**2)
+        for lo in range(0, len(x), step):
+            at = slice(lo, lo + step)
+            c, width = count[at], np.repeat(count_y[at], count[at])
+            k = np.arange(c.sum()) - np.repeat(np.cumsum(c) - c, c)
+            todo.append((level - 1, np.repeat(start_x[at], c) + k // np.maximum(width, 1), np.repeat(start_y[at], c) + k % np.maximum(width, 1)))
 
 
 def covering(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -183,86 +222,91 @@ def covering(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def candidate_batches(batches: Iterator[pa.RecordBatch], percent: int, few: bool) -> Iterator[pa.RecordBatch]:
-    """Sorted runs of (token, i, j) with (block, id, component, n, bits) to pairs (a, b) of two components that no node rules out; of a run all, or a few that cover its members."""
-    key, run = None, []
-
-    def pairs(run: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        t = pa.Table.from_batches(run)
-        if t.num_rows < 2:
-            return
-        block, ids, comp, n = (t.column(c).to_numpy() for c in ("block", "id", "component", "n"))
-        bits = np.frombuffer(b"".join(t.column("bits").to_pylist()), np.uint64).reshape(t.num_rows, -1)
-        i, j = t.column("i")[0].as_py(), t.column("j")[0].as_py()
-        sides = [np.flatnonzero(block == b) for b in ((i, j) if i != j else (i,))]
-        if not all(len(s) for s in sides):
-            return
-        trees = [Tree(n[s], bits[s]) for s in sides]
-        x, y = traverse(trees[0], trees[-1], percent)
-        a, b = sides[0][x], sides[-1][y]
-        keep = comp[a] != comp[b]
-        a, b = a[keep], b[keep]
+    """Sorted rows (head, band, i, j, block, own, id, component, n, bits) to pairs (a, b) of two components that no node rules out; of a node's pairs all, or a few that cover its members."""
+
+    def pairs(t: pa.Table) -> pa.RecordBatch:
+        block, own, ids, component, n, i, j = (t.column(c).to_numpy() for c in ("block", "own", "id", "component", "n", "i", "j"))
+        keys = np.stack([t.column(c).to_numpy() for c in ("head", "band", "i", "j")], 1)
+        group = np.cumsum(np.r_[False, (keys[1:] != keys[:-1]).any(1)])
+        tree = 2 * group + (block != i)
+        packed = t.column("bits").to_pylist()
+        width = np.array([len(b) // 8 for b in packed])
+        rows = {}
+        for words in np.unique(width).tolist():
+            at = np.flatnonzero(width == words)
+            bits = np.frombuffer(b"".join([packed[r] for r in at.tolist()]), np.uint64).reshape(len(at), words)
+            many, place, size = np.unique(np.stack([tree[at], component[at]], 1), axis=0, return_inverse=True, return_counts=True)
+            joint = np.where(size[place] >= FAN, component[at], -1)
+            order = np.lexsort((bits[:, 1].byteswap(), bits[:, 0].byteswap(), joint, tree[at]))  # like contents are neighbours
+            rows[words] = (at[order], bits[order])
+        found = [[], []]
+
+        def visit(one: Forest, other: Forest, split: bool, row_x: np.ndarray, row_y: np.ndarray) -> None:
+            if split:  # two blocks: a tree of one with the tree of the other
+                start = [(r, other.roots[g ^ 1]) for g, r in one.roots.items() if g ^ 1 in other.roots and (one is not other or not g & 1)]
+            else:
+                start = [(r, other.roots[g]) for g, r in one.roots.items() if g in other.roots]
+            if not start:
+                return
+            x, y = np.array(start).T
+            for a, b in traverse(one, other, x, y, percent):
+                a, b = row_x[a], row_y[b]
+                keep = (component[a] != component[b]) & (own[a] | own[b])
+                found[0].append(a[keep])
+                found[1].append(b[keep])
+
+        two = i != j
+        for words, (at, bits) in rows.items():
+            for split in (False, True):
+                mine = two[at] == split
+                if not mine.any():
+                    continue
+                one = Forest(tree[at[mine]], n[at[mine]], bits[mine], component[at[mine]])
+                visit(one, one, split, at[mine], at[mine])
+                most = n[at[mine]].max()
+                for wider in (w for w in rows if w > words):  # the part of wider bitmaps whose sizes are near enough
+                    far, wide = rows[wider]
+                    fit = (two[far] == split) & (percent * n[far] <= 100 * most)
+                    if fit.any():
+                        visit(one, Forest(tree[far[fit]], n[far[fit]], folded(wide[fit], 64 * words), component[far[fit]]), split, at[mine], far[fit])
+        a, b = (np.concatenate(f) if f else np.empty(0, np.int64) for f in found)
         if few:
             a, b = covering(a, b)
         a, b = ids[a], ids[b]
-        found = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1), axis=0)
-        if len(found):
-            yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], ["a", "b"])
-
-    def directly(batch: pa.RecordBatch, starts: np.ndarray, sizes: np.ndarray) -> Iterator[pa.RecordBatch]:
-        comp, ids, n, block = (batch.column(c).to_numpy() for c in ("component", "id", "n", "block"))
-        bits = np.frombuffer(b"".join(batch.column("bits").to_pylist()), np.uint64).reshape(batch.num_rows, -1)
-        ones = np.bitwise_count(bits).sum(1, dtype=np.int64)
-        split = batch.column("i").to_numpy() != batch.column("j").to_numpy()
-        for lo in range(0, len(starts), 256):
-            start, size = starts[lo : lo + 256], sizes[lo : lo + 256]
-            count = size * size
-            k = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-            first, width = np.repeat(start, count), np.repeat(size, count)
-            a, b = first + k // width, first + k % width
-            keep = (comp[a] < comp[b]) & ~(split[a] & (block[a] == block[b])) & (100 * np.minimum(n[a], n[b]) >= percent * np.maximum(n[a], n[b]))
-            a, b = a[keep], b[keep]
-            pair = np.unique(np.stack([np.minimum(ids[a], ids[b]), np.maximum(ids[a], ids[b])], 1), axis=0, return_index=True)[1]
-            a, b = a[pair], b[pair]
-            common = np.bitwise_count(bits[a] & bits[b]).sum(1, dtype=np.int64)
-            most = np.minimum(np.minimum(n[a] - (ones[a] - common), n[b] - (ones[b] - common)), common + np.minimum(n[a] - ones[a], n[b] - ones[b]))
-            keep = most >= needed(n[a] + n[b], percent)
-            a, b = ids[a[keep]], ids[b[keep]]
-            if len(a):
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+        both = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1), axis=0)
+        return pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], ["a", "b"])
 
+    held: list[pa.RecordBatch] = []
     for batch in batches:
-        if not batch.num_rows:
+        held.append(batch)
+        if sum(b.num_rows for b in held) < ROWS and sum(b.nbytes for b in held) < BYTES:
             continue
-        keys = np.stack([batch.column(c).to_numpy() for c in ("token", "i", "j")], 1)
-        starts = np.flatnonzero(np.r_[True, (keys[1:] != keys[:-1]).any(1)])
-        sizes = np.diff([*starts, batch.num_rows])
-        inner = np.zeros(len(starts), bool)
-        inner[1:-1] = (sizes[1:-1] <= SMALL) & (not few)
-        if inner.any():
-            yield from directly(batch, starts[inner], sizes[inner])
-        for s, e in zip(starts[~inner], (starts + sizes)[~inner], strict=True):
-            if key is not None and key != tuple(keys[s]):
-                yield from pairs(run)
-                run = []
-            key = tuple(keys[s])
-            run.append(batch.slice(s, e - s))
-    if run:
-        yield from pairs(run)
+        t = pa.Table.from_batches(held).combine_chunks()
+        keys = np.stack([t.column(c).to_numpy() for c in ("head", "band", "i", "j")], 1)
+        last = int(np.flatnonzero((keys != keys[-1]).any(1)).max(initial=-1)) + 1  # the last node may go on
+        if last:
+            yield pairs(t.slice(0, last))
+        held = t.slice(last).to_batches()
+    if held and sum(b.num_rows for b in held):
+        yield pairs(pa.Table.from_batches(held).combine_chunks())
 
 
 class JaccardJoin:
     """Classes of documents under links of Jaccard similarity of at least ``percent`` / 100 of their sets of ``k``-word shingles.
 
-    Defined results: null, empty or blank texts have an empty set and link with nothing (component_id is their own id); a
-    text of fewer than ``k`` words is one shingle; rows that repeat a doc_id count as one document and are each
-    returned; a null doc_id gives a null component_id; an empty table gives no rows; further columns are ignored.
+    Defined results: null, empty or blank texts have an empty set and link with nothing (component_id is their own doc_id); a
+    text of fewer than ``k`` words is one shingle; texts of any length count whole; a similarity of exactly the threshold links; rows that
+    repeat a doc_id are documents of their own; a row with a null doc_id is one too, and only a component without any other doc_id
+    has a null component_id; an empty table gives no rows; further columns are ignored.
     """
 
-    def __init__(self, k: int = 5, similarity: str = "0.8", hot_count: int = HOT_COUNT, block: int = BLOCK):
+    def __init__(self, k: int = 5, similarity: str = "0.8", hot_count: int = HOT_COUNT, block: int = BLOCK, covered: int = COVERED):
         percent = Fraction(similarity) * 100
         if percent.denominator != 1 or not 0 < percent <= 100:
             raise ValueError("similarity must be a whole percentage above 0")
-        self.k, self.percent, self.hot_count, self.block = k, int(percent), hot_count, block
+        self.k, self.percent, self.hot_count, self.block, self.covered = k, int(percent), hot_count, block, covered
+        #: Bands of sizes, in logarithms: a little wider than the similarity allows sizes to differ.
+        self.band = max(math.log(100 / self.percent) * (1 + 1e-9), 1e-9)
 
     def run(self, docs: DataFrame) -> DataFrame:
         spark, k, percent = docs.sparkSession, self.k, self.percent
@@ -272,96 +316,119 @@ class JaccardJoin:
         features = texts.mapInArrow(lambda it: feature_batches(it, k, percent), FEATURES).withColumn("row", F.monotonically_increasing_id())
         features = tables.write(features, "features")
         size = tables.write(features.select("doc_id", "n", "set_hash"), "sizes")
-        head = features.where("n > 0 and doc_id is not null").groupBy("set_hash").agg(F.min(F.struct("doc_id", "row")).alias("head"))
-        classes = tables.write(head.select("set_hash", F.col("head.doc_id").alias("id"), "head.row"), "classes")
-        first = features.select(F.col("doc_id").alias("id"), "n", "p", "tokens", "bits", "row").join(classes.select("row"), "row")
-        first = tables.write(first.drop("row"), "firsts")
+        # A class of equal sets is one document below; its id is the row of its least doc_id.
+        least = features.where("n > 0").groupBy("set_hash").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("least"))
+        classes = tables.write(least.select(F.col("least.row").alias("id"), "least.doc_id", "set_hash"), "classes")
+        # One join plan at all sizes: classes grow with the documents.
+        first = features.withColumnRenamed("row", "id").join(classes.select("id").hint("merge"), "id").select("id", "n", "p", "tokens", "bits")
+        first = tables.write(first, "firsts")
         tables.drop(features)
+        label = self.labels(first, classes, texts, tables)
+        of_class = classes.join(label, "id", "left").select("set_hash", "doc_id", F.coalesce("component", "id").alias("component"))
+        of_class = tables.write(of_class, "components")
+        least = of_class.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+        out = size.join(of_class.join(least, "component").select("set_hash", "component_id"), "set_hash", "left")
+        tables.drop(classes, label)
+        return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+
+    def labels(self, first: DataFrame, classes: DataFrame, texts: DataFrame, tables: Tables) -> DataFrame:
+        """(id, component) of the classes that link with another."""
         nodes = tables.write(first.select("id", "n", "bits"), "nodes")
-
-        tokens = first.select("id", F.explode(F.slice("tokens", F.lit(1), F.col("p"))).alias("token"))
-        hot = tokens.groupBy("token").count().where(F.col("count") >= self.hot_count).orderBy(F.desc("count"), "token").limit(HOT_TOKENS)
+        shared = self.shared(first, classes, texts, tables)
+        heads = tables.write(self.heads(shared), "heads")
+        tables.drop(shared)
+        # Two sets have no more in common than what is left of either from their first common token on.
+        sizes = F.col("n") + F.col("head_n")
+        near = (100 * F.least("n", "head_n") >= self.percent * F.greatest("n", "head_n")) & ((100 + self.percent) * F.least(F.col("n") - F.col("at"), F.col("head_n") - F.col("head_at")) >= self.percent * sizes)
+        pairs = heads.where(near).select(F.least("id", "head").alias("a"), F.greatest("id", "head").alias("b")).distinct()
+        groups = tables.write(heads.where("members > 2").select("head", "band", "id", "own").distinct(), "groups")
+        compared = tables.write(self.sieved(pairs, nodes), "compared")
+        tables.drop(heads)
+        links = self.verified(compared, classes, texts, tables)
+        label = components(links, tables)
+        for few in (True, False):  # a few pairs of large nodes first: what they link needs no more comparison
+            found = self.between(groups, nodes, label, tables, few)
+            new = tables.write(found.join(compared, ["a", "b"], "left_anti"), "candidates")
+            tables.drop(found, links)
+            links = self.verified(new, classes, texts, tables)
+            before, label = label, tables.write(self.relabelled(label, links, tables), "labels")
+            tables.drop(before)
+            compared = compared.union(new)
+        return label
+
+    def texts_of(self, wanted: DataFrame, texts: DataFrame) -> DataFrame:
+        """(id, set) of the classes ``wanted`` (id, doc_id, set_hash)."""
+        k = self.k
+        wanted = wanted.withColumnRenamed("doc_id", "of")
+        wanted = F.broadcast(wanted) if wanted.count() <= MAX_SENT else wanted
+        found = texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("of"))).select("id", "set_hash", "text")
+        return found.mapInArrow(lambda it: set_batches(it, k), "id bigint, set array<bigint>")
+
+    def shared(self, first: DataFrame, classes: DataFrame, texts: DataFrame, tables: Tables) -> DataFrame:
+        """(token, id, n, at) of the tokens at the beginning of the order that some other class has there too."""
+        spark, percent = first.sparkSession, self.percent
+        schema = "id bigint, n bigint, tokens array<bigint>"
+        prefix = first.select("id", "n", F.slice("tokens", F.lit(1), F.col("p")).alias("tokens"))
+        hot = prefix.select(F.explode("tokens").alias("token")).groupBy("token").count().where(F.col("count") >= self.hot_count).orderBy(F.desc("count"), "token").limit(HOT_TOKENS)
         hot = np.sort(np.array([r[0] for r in hot.select("token").collect()], np.int64).view(np.uint64))
         if len(hot):
             sent = spark.sparkContext.broadcast(hot)
-            again = tables.write(first.select(F.col("id").alias("doc_id"), "n", "p", "tokens").mapInArrow(lambda it: reordered(it, sent), "doc_id bigint, n bigint, p int, tokens array<bigint>"), "prefixes")
-            whole = texts.join(again.where("tokens is null").select("doc_id"), "doc_id", "left_semi").select("doc_id", "text").mapInArrow(lambda it: feature_batches(it, k, percent, sent), FEATURES)
-            known = again.where("tokens is not null").select("doc_id", "tokens").union(whole.dropDuplicates(["doc_id"]).select("doc_id", "tokens"))
-            tokens = known.select(F.col("doc_id").alias("id"), F.explode("tokens").alias("token"))
-        tokens = tables.write(tokens, "tokens")
-        tables.drop(first, *([again] if len(hot) else []))
-        often = tokens.groupBy("token").agg(F.count("*").alias("members"), F.min(F.xxhash64("token", "id").alias("h")).alias("least")).where("members > 1")
-        shared = tables.write(tokens.join(often, "token"), "shared")
+            again = tables.write(first.select("id", "n", "p", "tokens").mapInArrow(lambda it: reordered(it, sent), schema), "prefixes")
+            tables.drop(first)
+            wanted = tables.write(again.where("tokens is null").select("id").join(classes, "id"), "wanted")
+            whole = self.texts_of(wanted, texts).mapInArrow(lambda it: prefix_batches(it, percent, sent), schema).dropDuplicates(["id"])
+            first, prefix = again, again.where("tokens is not null").union(whole)
+        tokens = tables.write(prefix.select("id", "n", F.posexplode("tokens").alias("at", "token")), "tokens")
+        tables.drop(first)
+        often = tokens.groupBy("token").agg(F.count("*").alias("members")).where("members > 1").select("token")
+        out = tables.write(tokens.join(often, "token", "left_semi"), "shared")
         tables.drop(tokens)
+        return out
 
-        star = self.likely(shared, nodes, tables)
-        links = self.verified(star, texts, tables)
-        label = tables.write(components(links, tables), "labels")
-        compared = star
-        for few in (True, False):  # a few pairs in large groups first: what they link needs no more comparison
-            found = tables.write(self.between(shared, nodes, label, tables, few).join(compared, ["a", "b"], "left_anti"), "candidates")
-            if not found.isEmpty():
-                links, compared = links.union(self.verified(found, texts, tables)), compared.union(found)
-                label = tables.write(components(links, tables), "labels")
-        of_class = classes.join(label, "id", "left").select("set_hash", F.coalesce("component", "id").alias("component_id"))
-        out = size.join(of_class, "set_hash", "left")
-        return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
-
-    def paired(self, pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-        """Pairs (a, b) with sizes and bitmaps; those whose sizes are too far apart go."""
-        side = lambda s: nodes.select(F.col("id").alias(s), F.col("n").alias(f"n_{s}"), F.col("bits").alias(f"bits_{s}"))
-        both = pairs.join(side("a"), "a").join(side("b"), "b")
-        return both.where(100 * F.least("n_a", "n_b") >= self.percent * F.greatest("n_a", "n_b"))
-
-    def likely(self, shared: DataFrame, nodes: DataFrame, tables: Tables) -> DataFrame:
-        """Pairs to compare first: each document with the heads of its first few tokens; a head is a pseudo-random member of the token's documents."""
-        head = shared.where(F.xxhash64("token", "id") == F.col("least")).select("token", F.col("id").alias("head"))
-        few = shared.select("id", "token", "members", "least").join(head, "token").where("head <> id")
-        few = few.groupBy("id").agg(F.array_distinct(F.transform(F.slice(F.sort_array(F.collect_list(F.struct(-F.col("members"), "token", "head"))), 1, 4), lambda x: x["head"])).alias("heads"))
-        pairs = few.select("id", F.explode("heads").alias("head")).select(F.least("id", "head").alias("a"), F.greatest("id", "head").alias("b")).distinct()
-        return tables.write(self.sieved(self.paired(pairs, nodes)), "star")
-
-    def sieved(self, near: DataFrame) -> DataFrame:
-        percent = self.percent
-
-        def sieve(batches):
-            for batch in batches:
-                a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint64).reshape(batch.num_rows, -1) for c in ("bits_a", "bits_b"))
-                na, nb = batch.column("n_a").to_numpy(), batch.column("n_b").to_numpy()
-                only_a, only_b = (np.bitwise_count(x).sum(1, dtype=np.int64) for x in (a & ~b, b & ~a))
-                fits = np.minimum(na - only_a, nb - only_b) >= needed(na + nb, percent)
-                yield batch.select(["a", "b"]).filter(pa.array(fits))
+    def heads(self, shared: DataFrame) -> DataFrame:
+        """Rows (head, head_n, head_at, band, id, n, at, own, members): the members of each node (token, band) with its head. A member is in the node of its own band and in the next one."""
+        band = F.floor(F.log("n") / self.band)
+        keyed = shared.withColumn("of", band).withColumn("band", F.explode(F.array(F.col("of"), F.col("of") + 1))).withColumn("own", F.col("of") == F.col("band"))
+        least = F.min(F.when(F.col("own"), F.struct(F.xxhash64("id").alias("hash"), "id", "n", "at"))).alias("least")
+        cells = keyed.groupBy("token", "band").agg(F.count("*").alias("members"), least).where("members > 1 and least is not null")
+        cells = cells.select("token", "band", "members", F.col("least.id").alias("head"), F.col("least.n").alias("head_n"), F.col("least.at").alias("head_at"))
+        return keyed.join(cells, ["token", "band"]).where("id <> head").select("head", "head_n", "head_at", "band", "id", "n", "at", "own", "members")
 
-        return near.mapInArrow(sieve, "a bigint, b bigint")
+    def sieved(self, pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+        percent = self.percent
+        side = lambda s: nodes.select(F.col("id").alias(s), F.col("n").alias(f"n_{s}"), F.col("bits").alias(f"bits_{s}"))
+        return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(lambda it: sieve(it, percent), "a bigint, b bigint")
 
-    def verified(self, pairs: DataFrame, texts: DataFrame, tables: Tables) -> DataFrame:
+    def verified(self, pairs: DataFrame, classes: DataFrame, texts: DataFrame, tables: Tables) -> DataFrame:
         """The pairs whose whole sets reach the similarity."""
-        k = self.k
-        ids = tables.write(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "compared")
-        sets = texts.join(ids, "doc_id", "left_semi").select("doc_id", "text").mapInArrow(lambda it: set_batches(it, k), "doc_id bigint, set array<bigint>, bits binary")
-        sets = tables.write(sets, "sets")
-        near = self.sieved(self.paired(pairs, sets.select(F.col("doc_id").alias("id"), F.size("set").cast("bigint").alias("n"), "bits")))
-        near = tables.write(near.distinct(), "near")
-        side = lambda s: sets.select(F.col("doc_id").alias(s), F.col("set").alias(f"set_{s}"))
+        wanted = tables.write(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct().join(classes, "id"), "wanted")
+        sets = tables.write(self.texts_of(wanted, texts), "sets")
+        side = lambda s: sets.select(F.col("id").alias(s), F.col("set").alias(f"set_{s}"))
         both = F.size(F.array_intersect("set_a", "set_b"))
-        out = near.join(side("a"), "a").join(side("b"), "b").where(100 * both >= self.percent * (F.size("set_a") + F.size("set_b") - both)).select("a", "b")
+        out = pairs.join(side("a"), "a").join(side("b"), "b").where(100 * both >= self.percent * (F.size("set_a") + F.size("set_b") - both)).select("a", "b")
         out = tables.write(out, "verified")
-        tables.drop(sets, near, ids)
+        tables.drop(sets, wanted)
         return out
 
-    def between(self, shared: DataFrame, nodes: DataFrame, label: DataFrame, tables: Tables, few: bool) -> DataFrame:
-        """Pairs of different components that share a token and that the trees do not rule out; or a few of each large group."""
-        percent, block = self.percent, self.block
-        if few:
-            shared = shared.where(F.col("members") > SMALL)
-        now = shared.select("token", "id", "members").join(label, "id", "left").select("token", "id", "members", F.coalesce("component", "id").alias("component"))
-        now = tables.write(now, "members")
-        mixed = now.groupBy("token").agg(F.min("component").alias("c0"), F.max("component").alias("c1")).where("c0 <> c1").select("token")
-        blocks = F.ceil(F.col("members") / block).cast("int")
-        at = now.join(mixed, "token").join(nodes, "id").withColumn("block", F.pmod(F.xxhash64("id"), blocks).cast("int")).withColumn("blocks", blocks)
+    def relabelled(self, label: DataFrame, links: DataFrame, tables: Tables) -> DataFrame:
+        """Labels after more links: only the old components that they touch are visited."""
+        at = lambda c: label.select(F.col("id").alias(c), F.col("component").alias(f"{c}_of"))
+        edges = links.join(at("a"), "a", "left").join(at("b"), "b", "left").select(F.coalesce("a_of", "a").alias("a"), F.coalesce("b_of", "b").alias("b"))
+        more = components(edges, tables)
+        moved = label.join(more.select(F.col("id").alias("component"), F.col("component").alias("to")), "component", "left").select("id", F.coalesce("to", "component").alias("component"))
+        return moved.union(more.join(label, "id", "left_anti").select("id", "component"))
+
+    def between(self, groups: DataFrame, nodes: DataFrame, label: DataFrame, tables: Tables, few: bool) -> DataFrame:
+        """Pairs of different components in a node that the trees do not rule out; or a few of each large node."""
+        percent = self.percent
+        now = tables.write(groups.join(label, "id", "left").select("head", "band", "id", "own", F.coalesce("component", "id").alias("component")), "members")
+        mixed = now.groupBy("head", "band").agg(F.count("*").alias("members"), F.min("component").alias("c0"), F.max("component").alias("c1"))
+        mixed = mixed.where("c0 <> c1").where(F.col("members") > (self.covered if few else 1)).select("head", "band", "members")
+        blocks = F.ceil(F.col("members") / self.block).cast("int")
+        at = now.join(mixed, ["head", "band"]).join(nodes, "id").withColumn("block", F.pmod(F.xxhash64("id"), blocks).cast("int")).withColumn("blocks", blocks)
         each = at.withColumn("to", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        each = each.select("token", F.least("block", "to").alias("i"), F.greatest("block", "to").alias("j"), "block", "id", "component", "n", "bits")
-        dealt = each.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j", "n", "id")
+        each = each.select("head", "band", F.least("block", "to").alias("i"), F.greatest("block", "to").alias("j"), "block", "own", "id", "component", "n", "bits")
+        dealt = each.repartition("head", "band", "i", "j").sortWithinPartitions("head", "band", "i", "j", "id")
         out = tables.write(dealt.mapInArrow(lambda it: candidate_batches(it, percent, few), "a bigint, b bigint").distinct(), "between")
         tables.drop(now)
         return out
