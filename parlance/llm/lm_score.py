@@ -3,15 +3,14 @@
 The target model counts the documents that are labelled good, the background model counts all documents. Both share one
 vocabulary (all words of the corpus), one order (interpolated bigrams over unigrams) and one smoothing. Words and bigrams are
 counted exactly, by 64-bit hashes, in tables that grow with the corpus; no model is gathered in one place. Documents are
-kept in blocks: a block's distinct words and bigrams are counted in the block, summed over all blocks, and those whose sums differ from
-the block's own counts go back to it. A document's score is the mean over its tokens of background loss minus target loss, in nats: higher
-is more like the target.
+kept in blocks of about a million tokens. A block's distinct words and bigrams, with their counts in the block, go to cells, which are ranges of the
+hashes, as arrays in one row a cell; a cell adds up what all blocks sent and returns to each block what the others have. A document's score is the
+mean over its tokens of background loss minus target loss, in nats: higher is more like the target.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -23,16 +22,48 @@ from parlance.llm.common import _GOLDEN, Tables, WordHashes, bounded_batches, co
 
 #: Weight of the bigram estimate; count added to each word.
 MIX, ADD = 0.7, 0.1
-#: Tokens and documents of a block, about; rows that a task sums at once.
-HOLD, HOLD_DOCS, ROWS = 1_000_000, 100_000, 200_000
-#: Parts of the hashes that are counted, and of the blocks that are scored, one after another: shuffle files stay small.
-PARTS, SCORE_PARTS = 6, 4
+#: Tokens and documents of a block, about; tokens of the corpus for each cell.
+HOLD, HOLD_DOCS, CELL = 1_000_000, 100_000, 1_000_000
+#: Target ids that are broadcast, at most: 16 bytes each; more are joined by a shuffle.
+MAX_SENT = 1 << 20
+#: Rows of a batch of blocks or cells for Python: each row may have some megabytes.
+FEW_ROWS = 16
 #: Fixed value: the hash of the start of a document.
 START = 0xD6E8FEB86659FD93
 SCORES = "doc_id bigint, n_tokens bigint, target_loss double, background_loss double, score double"
 BLOCK = "block bigint, ids array<bigint>, sizes binary, target binary, vocabulary binary, words binary, totals array<bigint>"
-GRAM = "gram bigint, block bigint, at int, n int, t int, word boolean"
-COUNT = "block bigint, at int, n bigint, t bigint, first boolean"
+CELLS = "cell int, block bigint, grams binary, word binary, n binary, t binary"
+COUNTS = "block bigint, cell int, n binary, t binary, vocabulary bigint"
+
+
+def names(schema: str) -> list[str]:
+    return [x.split()[0] for x in schema.split(", ")]
+
+
+def packed(x: np.ndarray) -> bytes:
+    """Numbers as planes of their bytes, compressed: most planes of small numbers are zeros."""
+    planes = np.ascontiguousarray(x.reshape(-1, 1).view(np.uint8).T)
+    return len(x).to_bytes(8, "little") + bytes([x.itemsize]) + pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
+
+
+def unpacked(raw: bytes, kind: type) -> np.ndarray:
+    size, width = int.from_bytes(raw[:8], "little"), raw[8]
+    planes = np.frombuffer(pa.decompress(raw[9:], decompressed_size=size * width, codec="zstd", asbytes=True), np.uint8).reshape(width, size)
+    return np.ascontiguousarray(planes.T).reshape(-1).view(kind)
+
+
+def small(x: np.ndarray) -> np.ndarray:
+    """Counts in four bytes where they fit."""
+    return x.astype(np.uint32 if not len(x) or x.max() < 1 << 32 else np.uint64)
+
+
+def counts_of(raw: bytes) -> np.ndarray:
+    return unpacked(raw, np.uint32 if raw[8] == 4 else np.uint64).astype(np.int64)
+
+
+def steps(x: np.ndarray) -> np.ndarray:
+    """Differences of sorted hashes: about as many high bits fewer as there are hashes."""
+    return np.diff(x, prepend=np.uint64(0))
 
 
 def document_hashes(raws: list[bytes | None], cache: WordHashes) -> tuple[np.ndarray, np.ndarray]:
@@ -53,9 +84,9 @@ def block_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         good, hashes, sizes = (np.concatenate([h[i] for h in held]) for i in (1, 2, 3))
         vocabulary, words = np.unique(hashes, return_inverse=True)
         totals = [sizes.sum(), sizes[good].sum(), (sizes > 0).sum(), (sizes[good] > 0).sum()]
-        raw = [x.tobytes() for x in (sizes.astype(np.int64), good, vocabulary, words.astype(np.int32))]
+        raw = [packed(x) for x in (sizes.astype(np.int64), good, steps(vocabulary), words.astype(np.int32))]
         lists = [pa.ListArray.from_arrays([0, len(ids)], ids), *(pa.array([x], pa.binary()) for x in raw), pa.array([totals], pa.list_(pa.int64()))]
-        return pa.RecordBatch.from_arrays([pa.array([place + made], pa.int64()), *lists], [x.split()[0] for x in BLOCK.split(", ")])
+        return pa.RecordBatch.from_arrays([pa.array([place + made], pa.int64()), *lists], names(BLOCK))
 
     for batch in batches:
         raws, good = column_bytes(batch.column(1)), np.array(batch.column(2).to_pylist(), bool)
@@ -70,112 +101,123 @@ def block_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 class Block:
-    """A block's tokens, its words and bigrams with their counts in the block, of all documents and of target documents."""
+    """A block's tokens, its words and bigrams ("grams"), first words, then bigrams, and their counts in all its documents and in target documents."""
 
     def __init__(self, row: dict):
-        self.ids = row["ids"]
-        self.sizes, good, self.vocabulary, self.words = (np.frombuffer(row[c], kind) for c, kind in (("sizes", np.int64), ("target", bool), ("vocabulary", np.uint64), ("words", np.int32)))
-        v, ids = len(self.vocabulary), self.words.astype(np.int64)
+        self.block, self.ids = row["block"], row["ids"]
+        self.sizes, good, self.words = unpacked(row["sizes"], np.int64), unpacked(row["target"], bool), unpacked(row["words"], np.int32)
+        vocabulary = np.cumsum(unpacked(row["vocabulary"], np.uint64))
+        self.v, ids = len(vocabulary), self.words.astype(np.int64)
         before = np.empty_like(ids)
         before[1:] = ids[:-1]
-        before[(np.cumsum(self.sizes) - self.sizes)[self.sizes > 0]] = v
-        codes, self.pair = np.unique(before * (v + 1) + ids, return_inverse=True)
-        self.left, self.right = codes // (v + 1), codes % (v + 1)
+        before[(np.cumsum(self.sizes) - self.sizes)[self.sizes > 0]] = self.v
+        codes, self.pair = np.unique(before * (self.v + 1) + ids, return_inverse=True)
+        self.left, self.right = codes // (self.v + 1), codes % (self.v + 1)
         of_target = np.repeat(good, self.sizes)
-        self.counts = [np.concatenate([np.bincount(ids[of], minlength=v), np.bincount(self.pair[of], minlength=len(codes))]) for of in (slice(None), of_target)]
-
-    def grams(self) -> np.ndarray:
-        hashes = np.append(self.vocabulary, np.uint64(START))
-        return np.concatenate([self.vocabulary, mix64(hashes[self.left] * np.uint64(_GOLDEN) + hashes[self.right])])
+        self.counts = [np.concatenate([np.bincount(ids[of], minlength=self.v), np.bincount(self.pair[of], minlength=len(codes))]) for of in (slice(None), of_target)]
+        hashes = np.append(vocabulary, np.uint64(START))
+        grams = np.concatenate([mix64(vocabulary), mix64(hashes[self.left] * np.uint64(_GOLDEN) + hashes[self.right])])
+        #: Places of the grams in the order of their hashes, in which cells get them and return their counts.
+        self.order = np.argsort(grams, kind="stable")
+        self.grams = grams[self.order]
 
 
-def gram_batches(batches: Iterator[pa.RecordBatch], part: int) -> Iterator[pa.RecordBatch]:
+def cell_batches(batches: Iterator[pa.RecordBatch], cells: int) -> Iterator[pa.RecordBatch]:
+    edges = np.array([-(-(c << 64) // cells) for c in range(1, cells)], np.uint64)
     for batch in batches:
         for row in batch.to_pylist():
             block = Block(row)
-            grams = block.grams()
-            chosen = np.flatnonzero(mix64(grams) % np.uint64(PARTS) == part).astype(np.int32)
-            for lo in range(0, len(chosen), 50_000):
-                at = chosen[lo : lo + 50_000]
-                columns = [grams[at].view(np.int64), np.full(len(at), row["block"]), at, *(c[at].astype(np.int32) for c in block.counts), at < len(block.vocabulary)]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], [x.split()[0] for x in GRAM.split(", ")])
+            cut = [0, *np.searchsorted(block.grams, edges).tolist(), len(block.grams)]
+            n, t = (c[block.order] for c in block.counts)
+            word = block.order < block.v
+            chosen = [c for c in range(cells) if cut[c] < cut[c + 1]]
+            for lo in range(0, len(chosen), 64):
+                out = [(c, block.block, packed(steps(block.grams[at])), np.packbits(word[at]).tobytes(), packed(small(n[at])), packed(small(t[at]))) for c in chosen[lo : lo + 64] for at in [slice(cut[c], cut[c + 1])]]
+                yield pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in zip(zip(*out, strict=True), (pa.int32(), pa.int64(), *[pa.binary()] * 4), strict=True)], names(CELLS))
 
 
 def sum_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sums over rows sorted by gram: of rows that differ from their sums, and of one row (``first``) of each word."""
-    held: list[list[np.ndarray]] = []
-    size, room = 0, ROWS
-
-    def summed(gram, block, at, n, t, word) -> pa.RecordBatch:
-        starts = np.flatnonzero(np.append(True, gram[1:] != gram[:-1]))
-        times = np.diff(np.append(starts, len(gram)))
-        every, target = (np.repeat(np.add.reduceat(c.astype(np.int64), starts), times) for c in (n, t))
-        first = np.zeros(len(gram), bool)
-        first[starts] = True
-        first &= word
-        kept = (every != n) | (target != t) | first
-        return pa.RecordBatch.from_arrays([pa.array(c[kept]) for c in (block, at, every, target, first)], [x.split()[0] for x in COUNT.split(", ")])
+    """Rows of CELLS, sorted by cell, to what each block's counts lack to the sums of all blocks; a cell's first row has its number of words."""
+
+    def summed(rows: list[dict]) -> Iterator[pa.RecordBatch]:
+        grams = [np.cumsum(unpacked(r["grams"], np.uint64)) for r in rows]
+        sizes = [len(g) for g in grams]
+        word = np.concatenate([np.unpackbits(np.frombuffer(r["word"], np.uint8), count=size).view(bool) for r, size in zip(rows, sizes, strict=True)])
+        known, at = np.unique(np.concatenate(grams), return_inverse=True)
+        words = np.zeros(len(known), bool)
+        words[at[word]] = True
+        lacking = []
+        for name in ("n", "t"):
+            own = np.concatenate([counts_of(r[name]) for r in rows])
+            total = np.zeros(len(known), np.int64)
+            np.add.at(total, at, own)
+            lacking.append(total[at] - own)
+        ends = np.cumsum(sizes)
+        for i, (row, lo, hi) in enumerate(zip(rows, ends - sizes, ends, strict=True)):
+            values = [row["block"], row["cell"], *(packed(small(x[lo:hi])) for x in lacking), int(words.sum()) if not i else 0]
+            yield pa.RecordBatch.from_arrays([pa.array([x], y) for x, y in zip(values, (pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.int64()), strict=True)], names(COUNTS))
+
+    held: list[dict] = []
+    for batch in batches:
+        for row in batch.to_pylist():
+            if held and held[0]["cell"] != row["cell"]:
+                yield from summed(held)
+                held = []
+            held.append(row)
+    if held:
+        yield from summed(held)
+
 
+def score_batches(batches: Iterator[pa.RecordBatch], vocabulary: int, totals: list[int]) -> Iterator[pa.RecordBatch]:
+    """Scores of the documents of blocks, each of which comes after its counts. ``totals``: tokens, target tokens, documents with tokens, target documents with tokens."""
+    held: list[dict] = []
     for batch in batches:
-        held.append([c.to_numpy(zero_copy_only=False) for c in batch.columns])
-        size += batch.num_rows
-        if size >= room:
-            columns = [np.concatenate(c) for c in zip(*held, strict=True)]
-            last = int(np.searchsorted(columns[0], columns[0][-1]))  # the last gram may go on
-            if last:
-                yield summed(*(c[:last] for c in columns))
-            held, size = [[c[last:] for c in columns]], size - last
-            room = ROWS + 2 * size
-    if size:
-        yield summed(*(np.concatenate(c) for c in zip(*held, strict=True)))
-
-
-def score_block(counted: pa.Table, blocks: pa.Table, vocabulary: int, totals: list[int]) -> pa.Table:
-    """Scores of a block's documents. ``totals``: tokens, target tokens, documents with tokens, target documents with tokens."""
-    out = []
-    for row in blocks.to_pylist():
-        block, at = Block(row), counted.column("at").to_numpy()
-        sizes, v = block.sizes, len(block.vocabulary)
-        of = np.repeat(np.arange(len(sizes)), sizes)
-        means = []
-        for name, counts, tokens, starts in (("t", block.counts[1], totals[1], totals[3]), ("n", block.counts[0], totals[0], totals[2])):
-            counts[at] = counted.column(name).to_numpy()
-            single = (counts[:v] + ADD) / (tokens + ADD * max(1, vocabulary))
-            context = np.append(counts[:v], starts)[block.left]
-            losses = -np.log(MIX * counts[v:] / np.maximum(context, 1) + (1 - MIX * (context > 0)) * single[block.right])
-            means.append(np.bincount(of, losses[block.pair], len(sizes)) / np.maximum(sizes, 1))
-        out.append(pa.table([pa.array(block.ids, pa.int64()), pa.array(sizes), *map(pa.array, means), pa.array(means[1] - means[0])], [x.split()[0] for x in SCORES.split(", ")]))
-    return pa.concat_tables(out)
+        for row in batch.to_pylist():
+            if row["words"] is None:
+                held.append(row)
+                continue
+            block = Block(row)
+            sizes, v = block.sizes, block.v
+            of = np.repeat(np.arange(len(sizes)), sizes)
+            means = []
+            for name, counts, tokens, starts in (("t", block.counts[1], totals[1], totals[3]), ("n", block.counts[0], totals[0], totals[2])):
+                if held:
+                    counts[block.order] += np.concatenate([counts_of(h[name]) for h in held])
+                single = (counts[:v] + ADD) / (tokens + ADD * max(1, vocabulary))
+                context = np.append(counts[:v], starts)[block.left]
+                losses = -np.log(MIX * counts[v:] / np.maximum(context, 1) + (1 - MIX * (context > 0)) * single[block.right])
+                means.append(np.bincount(of, losses[block.pair], len(sizes)) / np.maximum(sizes, 1))
+            held = []
+            yield pa.RecordBatch.from_arrays([pa.array(block.ids, pa.int64()), pa.array(sizes), *map(pa.array, means), pa.array(means[1] - means[0])], names(SCORES))
 
 
 def cross_entropy_difference(docs: DataFrame, targets: DataFrame) -> DataFrame:
     """SCORES of each row of ``docs`` (doc_id, text); ``targets`` has the doc_id of target documents.
 
     Defined results: null, empty and blank texts have no tokens, losses and a score of 0; with no target document the target
-    model is uniform; rows that repeat count and are scored each; an empty table gives no rows; further columns are ignored.
+    model is uniform; rows that repeat count and are scored each; a null doc_id is no target; a text of any length is in one block; an empty
+    table gives no rows; further columns are ignored.
     """
     spark = docs.sparkSession
     tables = Tables(spark)
-    bounded_batches(spark)
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    good = targets.select(F.col("doc_id").cast("bigint").alias("doc_id")).distinct().withColumn("good", F.lit(True))
-    # Target ids grow with the documents: never broadcast.
-    labelled = rows.join(good.hint("merge"), "doc_id", "left").select("doc_id", "text", F.coalesce("good", F.lit(False)).alias("good"))
+    good = tables.write(targets.select(F.col("doc_id").cast("bigint").alias("doc_id")).where("doc_id is not null").distinct(), "targets").withColumn("good", F.lit(True))
+    good = F.broadcast(good) if good.count() <= MAX_SENT else good.hint("merge")
+    labelled = rows.join(good, "doc_id", "left").select("doc_id", "text", F.coalesce("good", F.lit(False)).alias("good"))
+    bounded_batches(spark)
     blocks = tables.write(labelled.mapInArrow(block_batches, BLOCK), "blocks")
-    totals = blocks.agg(*[F.coalesce(F.sum(F.col("totals")[i]), F.lit(0)) for i in range(4)]).first()
-    sums = []
-    for part in range(PARTS):
-        grams = blocks.mapInArrow(lambda it: gram_batches(it, part), GRAM)  # noqa: B023
-        sums.append(tables.write(grams.repartition(spread(spark), "gram").sortWithinPartitions("gram").mapInArrow(sum_batches, COUNT), "counts"))
-    counted = reduce(DataFrame.unionByName, sums)
-    vocabulary, totals = counted.where("first").count(), list(totals)
-    score = lambda counts, of: score_block(counts, of, vocabulary, totals)
-    scores = []
-    for part in range(SCORE_PARTS):
-        counts, of = (x.where(F.pmod(F.xxhash64("block"), F.lit(SCORE_PARTS)) == part).groupBy("block") for x in (counted.select("block", "at", "n", "t"), blocks))
-        scores.append(tables.write(counts.cogroup(of).applyInArrow(score, SCORES), "scores"))
-    tables.drop(blocks, *sums)
-    return reduce(DataFrame.unionByName, scores)
+    bounded_batches(spark, FEW_ROWS)
+    totals = list(blocks.agg(*[F.coalesce(F.sum(F.col("totals")[i]), F.lit(0)) for i in range(4)]).first())
+    cells = max(1, -(-totals[0] // CELL))
+    sent = blocks.mapInArrow(lambda it: cell_batches(it, cells), CELLS).repartition(max(spread(spark), cells), "cell").sortWithinPartitions("cell")
+    counts = tables.write(sent.mapInArrow(sum_batches, COUNTS), "counts")
+    vocabulary = counts.agg(F.coalesce(F.sum("vocabulary"), F.lit(0))).first()[0]
+    both = counts.select("block", "cell", "n", "t").unionByName(blocks.select("block", F.lit(cells).alias("cell"), "ids", "sizes", "target", "vocabulary", "words"), allowMissingColumns=True)
+    dealt = both.repartition(max(spread(spark), cells), "block").sortWithinPartitions("block", "cell")
+    scores = tables.write(dealt.mapInArrow(lambda it: score_batches(it, vocabulary, totals), SCORES), "scores")
+    bounded_batches(spark)
+    tables.drop(blocks, counts)
+    return scores
 
 
 def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
