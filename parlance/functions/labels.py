@@ -70,23 +70,26 @@ def confidence(v: Column) -> Column:
     return F.coalesce(F.when(k == "STRING", mapped(F.lower(strip(s)), L.CONFIDENCE_WORDS)), number)
 
 
+def once(rows: DataFrame, values: dict[str, Column]) -> DataFrame:
+    """Adds columns that are computed once a row: projections would be merged with the next ones, and what these use often computed as often."""
+    return rows.select("*", F.inline(F.array(F.struct(*[c.alias(name) for name, c in values.items()]))))
+
+
 def validated(raw: DataFrame) -> DataFrame:
     """Raw results with typed label columns in a struct ``label`` and ``failure``, null for valid rows.
 
     A payload that is no JSON object fails as ``invalid_json: ...``; a confidence that is not a number in [0, 1] fails, NaN included.
     """
-    # Each stage is a projection of its own, so the text is parsed once and each value computed once.
-    out = raw.withColumn("v", F.try_parse_json("response_text"))
     v = F.col("v")
     missing = F.array_compact(F.array(*[F.when(field(v, f).isNull(), F.lit(f)) for f in FIELDS if f not in FILLED]))
     kinds = ("stance", "emotion_intensity", "topic_tags", "risk_tags", "confidence", "is_low_info_confirmed", "is_mobilization_confirmed")
-    out = out.withColumns({"root": F.schema_of_variant(v), "missing": missing, **{f"k_{f}": kind(v, f) for f in kinds}})
+    out = once(raw, {"v": F.try_parse_json("response_text")})
+    out = once(out, {"root": F.schema_of_variant(v), "missing": missing, **{f"k_{f}": kind(v, f) for f in kinds}})
     k = F.col("k_emotion_intensity")
     score = F.when(k == "BOOLEAN", (F.try_variant_get(v, "$.emotion_intensity", "string") == "true").cast("double")).when(is_number(k), F.try_variant_get(v, "$.emotion_intensity", "double"))
-    out = out.withColumns({"v_sentiment": choice(v, "sentiment", L.SENTIMENT_ALIASES), "v_stance": stance(v), "v_score": score, "v_sure": confidence(v), "v_topics": tag_list(v, "topic_tags", L.TOPIC_ALIASES), "v_risks": tag_list(v, "risk_tags", L.RISK_ALIASES, L.DROPPED_RISKS)})
+    out = once(out, {"v_sentiment": choice(v, "sentiment", L.SENTIMENT_ALIASES), "v_stance": stance(v), "v_score": score, "v_sure": confidence(v), "v_topics": tag_list(v, "topic_tags", L.TOPIC_ALIASES), "v_risks": tag_list(v, "risk_tags", L.RISK_ALIASES, L.DROPPED_RISKS), "v_choice": choice(v, "emotion_intensity", L.INTENSITY_ALIASES)})
     sentiment, place, score, sure, topics, risks = (F.col(f"v_{c}") for c in ("sentiment", "stance", "score", "sure", "topics", "risks"))
-    out = out.withColumn("v_strength", F.when(score.isNotNull(), intensity_bucket(score)).otherwise(choice(v, "emotion_intensity", L.INTENSITY_ALIASES)))
-    strength, root, missing = F.col("v_strength"), F.col("root"), F.col("missing")
+    strength, root, missing = F.when(score.isNotNull(), intensity_bucket(score)).otherwise(F.col("v_choice")), F.col("root"), F.col("missing")
 
     def one_of(name: str, value: Column, allowed) -> Column:
         return F.when(~F.coalesce(value.isin(*allowed), F.lit(False)), F.concat(F.lit(f"Invalid {name}: "), F.coalesce(value, F.lit("None"))))
@@ -116,7 +119,7 @@ def validated(raw: DataFrame) -> DataFrame:
         shown(v, "comment_id").alias("comment_id"), shown(v, "template_group").alias("template_group"), sentiment.alias("sentiment"), place.alias("stance"), topics.alias("topic_tags"), strength.alias("emotion_intensity"), risks.alias("risk_tags"),
         boolean("is_low_info_confirmed"), boolean("is_mobilization_confirmed"), sure.alias("confidence"), strip(shown(v, "summary_reason")).alias("summary_reason"),
     )
-    return out.withColumn("failure", failure).withColumn("label", F.when(F.col("failure").isNull(), label)).select(*raw.columns, "failure", "label")
+    return once(out, {"failure": failure}).withColumn("label", F.when(F.col("failure").isNull(), label)).select(*raw.columns, "failure", "label")
 
 
 def split(raw: DataFrame) -> tuple[DataFrame, DataFrame]:

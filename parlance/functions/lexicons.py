@@ -22,7 +22,10 @@ BARE_SUPPORT = ("支持", "supportive")
 
 #: White space as Python has it; and the canonical form's classes.
 WS = r"[\s\x0b\x1c-\x1f\x85\p{Z}]"
+#: The same, one by one.
+WS_CHARS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 BRACKET_TAG = r"\[[^\[\]]{1,10}\]"
 EMOJI = r"[\x{1F600}-\x{1F64F}\x{1F300}-\x{1F5FF}\x{1F680}-\x{1F6FF}\x{1F1E0}-\x{1F1FF}\x{2702}-\x{27B0}\x{1F900}-\x{1F9FF}\x{1FA00}-\x{1FA6F}\x{1FA70}-\x{1FAFF}\x{2600}-\x{26FF}\x{FE00}-\x{FE0F}\x{200D}\x{2B50}\x{23CF}\x{23E9}-\x{23F3}\x{23F8}-\x{23FA}]+"
-PUNCTUATION = r"""[，。！？、；："'【】《》（）()\[\]{}<>/\\@#$%\^&*\-_+=|~`…·\x{200B}\x{200C}\x{200D}\x{FEFF}]"""
+#: Neither a straight double quote nor a backslash is in it.
+PUNCTUATION = r"""[，。！？、；：'【】《》（）()\[\]{}<>/@#$%\^&*\-_+=|~`…·\x{200B}\x{200C}\x{200D}\x{FEFF}]"""
 SYMBOLS_ONLY = r"^[\p{P}\p{S}\s\x0b\x1c-\x1f\x85\p{Z}]+$"

@@ -18,7 +18,7 @@ def text_of(c) -> Column:
 
 
 def strip(c) -> Column:
-    return F.regexp_replace(col(c), f"^{L.WS}+|{L.WS}+$", "")
+    return F.btrim(col(c), F.lit(L.WS_CHARS))
 
 
 def raw_text(c) -> Column:
@@ -90,7 +90,11 @@ def tags(c, lexicon) -> Column:
 
 def canonical(c) -> Column:
     """The form under which near-verbatim repeats are equal."""
-    out = col(c)
-    for pattern in (L.BRACKET_TAG, L.EMOJI, L.PUNCTUATION, f"{L.WS}+"):
-        out = F.regexp_replace(out, pattern, "")
-    return out
+    out = F.regexp_replace(col(c), L.BRACKET_TAG, "")
+    # All else goes character by character, so one class of all of them does.
+    return F.regexp_replace(out, f"[{L.EMOJI[1:-2]}{L.PUNCTUATION[1:-1]}{L.WS[1:-1]}]+", "")
+
+
+def key(c) -> Column:
+    """32 bytes that stand for a text: texts are told apart, grouped and joined by them, and need not be moved."""
+    return F.unhex(F.sha2(col(c), 256))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 COUNTS = ("comment_count", "unique_user_count", "like_count_sum")
@@ -63,6 +63,12 @@ def top_templates(rows: DataFrame, k: int) -> DataFrame:
     return summed(rows.where("template_group <> ''"), "template_group").orderBy(F.desc("comment_count"), "template_group").limit(k)
 
 
+def samples(rows: DataFrame, field: str, k: int) -> DataFrame:
+    """Of each tag the ``k`` most liked rows of high priority, with their ``place``: each task passes on at most ``k`` a tag."""
+    each = rows.where("analysis_priority = 'high'").withColumn("value", F.explode(field))
+    return each.withColumn("place", F.row_number().over(Window.partitionBy("value").orderBy(F.desc("like_count"), "ordinal"))).where(F.col("place") <= k)
+
+
 def tier() -> Column:
     """Value tiers of a ruled row: A likes or replies, B topic or length, C other, D low information."""
     return F.when(F.col("is_low_info"), "D").when((F.col("like_count") >= 50) | (F.col("reply_count") >= 10), "A").when((F.size("rule_topic_tags") > 0) | (F.col("char_len") >= 12), "B").otherwise("C")

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from parlance.functions import text as T
+from parlance.plans.tables import sent, written
+
 
 def eligible(rows: DataFrame) -> DataFrame:
     return rows.where(~F.col("is_low_info") & (F.col("analysis_priority") != "low"))
@@ -13,11 +16,14 @@ def eligible(rows: DataFrame) -> DataFrame:
 def representatives(rows: DataFrame) -> DataFrame:
     """Of each canonical group the most liked, then longest, then earliest row, and all rows of no group; ``group_ordinal`` is the group's first ordinal.
 
-    A group is reduced by partial aggregates of one struct, so a group of any size stays out of a single task.
+    A group is reduced to one ordinal by partial aggregates of a few numbers under the key of its canonical text, so a group of any size stays out of a
+    single task and no text is moved; chosen ordinals are then joined back.
     """
-    best = F.max_by(F.struct(*[c for c in rows.columns]), F.struct("like_count", "char_len", -F.col("ordinal"))).alias("row")
-    grouped = rows.where("canonical_template_group <> ''").groupBy("canonical_template_group").agg(best, F.min("ordinal").alias("group_ordinal")).select("row.*", "group_ordinal")
-    return grouped.unionByName(rows.where("canonical_template_group = ''").withColumn("group_ordinal", F.col("ordinal")))
+    slim = rows.select("ordinal", "like_count", "char_len", F.when(F.col("canonical_template_group") != "", T.key("canonical_template_group")).alias("key"))
+    best = F.max(F.struct("like_count", "char_len", (-F.col("ordinal")).alias("last"))).alias("best")
+    grouped = slim.where("key is not null").groupBy("key").agg(best, F.min("ordinal").alias("group_ordinal")).select((-F.col("best.last")).alias("chosen"), "group_ordinal")
+    chosen = written(grouped.union(slim.where("key is null").select("ordinal", "ordinal")))
+    return rows.join(sent(chosen), F.col("ordinal") == F.col("chosen")).drop("chosen")
 
 
 def in_order(rows: DataFrame) -> DataFrame:
@@ -30,10 +36,8 @@ def requests(rows: DataFrame) -> DataFrame:
 
 
 def numbered(rows: DataFrame, *order) -> DataFrame:
-    """Adds ``rn``, 1-based over the whole order: a range sort, then offsets of its partitions, so no task sees all rows."""
-    from parlance.plans.tables import written
-
-    sorted_ = rows.orderBy(*order).withColumn("part", F.spark_partition_id()).withColumn("at", F.monotonically_increasing_id())
+    """Adds ``rn``, 1-based over the whole order: a range sort, then offsets of its partitions, so no task sees all rows. Rows are written first, as a range sort reads them twice."""
+    sorted_ = written(rows).orderBy(*order).withColumn("part", F.spark_partition_id()).withColumn("at", F.monotonically_increasing_id())
     sorted_ = written(sorted_)
     sizes = sorted_.groupBy("part").agg(F.count("*").alias("n"), F.min("at").alias("low"))
     before = F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))

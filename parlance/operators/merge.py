@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parlance.functions import text as T
+from parlance.plans.tables import written
 
 TEXTS, LISTS, FLAGS = ("sentiment", "stance", "emotion_intensity", "summary_reason"), ("topic_tags", "risk_tags"), ("is_low_info_confirmed", "is_mobilization_confirmed")
 PAYLOAD = TEXTS + LISTS + FLAGS
@@ -39,10 +40,16 @@ def lookup(labels: DataFrame, key, name: str) -> DataFrame:
 
 
 def merge_labels(records: DataFrame, labels: DataFrame) -> DataFrame:
-    """``records`` need comment_id, template_group, canonical_template_group and the payload columns; ``labels`` typed, with ordinal."""
-    out = records
-    for name, key, left in (("by_id", F.col("comment_id"), "comment_id"), ("by_group", F.col("template_group"), "template_group"), ("by_form", T.canonical("template_group"), "canonical_template_group")):
-        out = out.join(lookup(labels, key, name), F.col(left) == F.col(name), "left").drop(name)
-    hit = F.coalesce("payload_by_id", "payload_by_group", "payload_by_form")
-    out = out.withColumn("hit", hit)
-    return out.withColumns({c: F.when(F.col("hit").isNotNull(), F.col("hit")[c]).otherwise(F.col(c)) for c in PAYLOAD}).drop("hit", "payload_by_id", "payload_by_group", "payload_by_form")
+    """``records`` need ordinal, which tells rows apart, comment_id, template_group, canonical_template_group and the payload columns; ``labels`` typed, with ordinal.
+
+    Lookups run on rows of an ordinal and keys of 32 bytes; records and their texts are joined once, with the payload that was found.
+    """
+    labels = written(labels)
+    of = {"by_id": (F.col("comment_id"), "comment_id"), "by_group": (F.col("template_group"), "template_group"), "by_form": (T.canonical("template_group"), "canonical_template_group")}
+    slim = written(records.select(F.col("ordinal").alias("of"), *[F.when(F.col(left) != "", T.key(left)).alias(f"key_{name}") for name, (_, left) in of.items()]))
+    for name, (key, _) in of.items():
+        found = lookup(labels, key, name).withColumn(name, T.key(name))
+        slim = slim.join(found, F.col(f"key_{name}") == F.col(name), "left").drop(name)
+    hits = written(slim.select("of", F.coalesce("payload_by_id", "payload_by_group", "payload_by_form").alias("hit")).where("hit is not null"))
+    out = records.join(hits, F.col("ordinal") == F.col("of"), "left")
+    return out.withColumns({c: F.when(F.col("hit").isNotNull(), F.col("hit")[c]).otherwise(F.col(c)) for c in PAYLOAD}).drop("hit", "of")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from parlance.functions import lexicons as L
 from parlance.functions import text as T
+from parlance.plans.tables import sent, written
 
 
 @dataclass(frozen=True)
@@ -34,15 +35,23 @@ def features(rows: DataFrame, rules: Rules = Rules()) -> DataFrame:  # noqa: B00
     return out.withColumns({"is_short_text": F.col("char_len") <= L.SHORT, "is_low_info": low})
 
 
-def flagged(rows: DataFrame, key: str, name: str) -> DataFrame:
-    """Adds whether a non-empty key occurs more than once. Counts are added up before the shuffle and only repeated keys are joined back."""
-    often = rows.where(F.col(key) != "").groupBy(key).agg(F.count("*").alias("n")).where("n > 1").select(F.col(key).alias("often"))
-    return rows.join(often, F.col(key) == F.col("often"), "left").withColumn(name, F.col("often").isNotNull()).drop("often")
+def flagged(slim: DataFrame, key: str, name: str) -> DataFrame:
+    """Adds whether a key that is not null occurs more than once. Counts are added up before the shuffle and only repeated keys are joined back."""
+    often = slim.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n")).where("n > 1").select(F.col(key).alias("often"))
+    return slim.join(often, F.col(key) == F.col("often"), "left").withColumn(name, F.col("often").isNotNull()).drop("often")
 
 
 def apply_rules(rows: DataFrame, rules: Rules = Rules()) -> DataFrame:  # noqa: B008
-    """All rule columns. The priority sees verbatim repeats only; near-verbatim groups then override the repeat columns."""
-    out = flagged(flagged(features(rows, rules), "comment_text_clean", "exact"), "canonical_template_group", "near")
+    """All rule columns; ``ordinal`` tells rows apart. The priority sees verbatim repeats only; near-verbatim groups then override the repeat columns.
+
+    Features are computed once and written; repeats are counted on rows of an ordinal and two keys, never on texts.
+    """
+    base = written(features(rows, rules))
+    key = lambda c: F.when(F.col(c) != "", T.key(c)).alias(f"key_{c}")
+    slim = written(base.select("ordinal", key("comment_text_clean"), key("canonical_template_group")))
+    slim = flagged(flagged(slim, "key_comment_text_clean", "exact"), "key_canonical_template_group", "near")
+    repeats = written(slim.where("exact or near").select(F.col("ordinal").alias("of"), "exact", "near"))
+    out = base.join(sent(repeats), F.col("ordinal") == F.col("of"), "left").withColumns({c: F.coalesce(c, F.lit(False)) for c in ("exact", "near")}).drop("of")
     high = (F.col("like_count") >= L.HIGH_LIKES) | (F.col("reply_count") >= L.HIGH_REPLIES) | F.col("exact") | (F.col("char_len") >= L.LONG) | (F.size("rule_topic_tags") > 0)
     out = out.withColumns({
         "analysis_priority": F.when(F.col("is_low_info"), "low").when(high, "high").otherwise("medium"),

@@ -16,9 +16,12 @@ from parlance.functions import lexicons as L
 from parlance.functions import text as T
 from parlance.operators import aggregate as A
 from parlance.operators import export as E
-from parlance.operators.merge import PAYLOAD, merge_labels
+from parlance.operators import labeller
+from parlance.operators.merge import PAYLOAD, merge_labels, typed_labels
 from parlance.operators.reply_tree import reply_depth, with_reply_metadata
 from parlance.operators.rules import Rules, apply_rules, features, first_by_id
+from parlance.plans.tables import folder
+from parlance.sources import comments as S
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -99,8 +102,17 @@ def sql_clean(c: str) -> str:
     return sql_strip(f"regexp_replace({c}, {q(L.WS + '+')}, ' ', 'g')")
 
 
+#: What the canonical form lacks, written out for the SQL on its own: tags in brackets, emoji, marks, white space.
+SQL_REMOVED = (
+    r"\[[^\[\]]{1,10}\]",
+    r"[\x{1F600}-\x{1F64F}\x{1F300}-\x{1F5FF}\x{1F680}-\x{1F6FF}\x{1F1E0}-\x{1F1FF}\x{2702}-\x{27B0}\x{1F900}-\x{1F9FF}\x{1FA00}-\x{1FA6F}\x{1FA70}-\x{1FAFF}\x{2600}-\x{26FF}\x{FE00}-\x{FE0F}\x{200D}\x{2B50}\x{23CF}\x{23E9}-\x{23F3}\x{23F8}-\x{23FA}]+",
+    r"[，。！？、；：'【】《》（）()\[\]{}<>/@#$%^&*_+=|~`…·\x{200B}\x{200C}\x{200D}\x{FEFF}-]",
+    r"[\s\x0b\x1c-\x1f\x{85}\p{Z}]+",
+)
+
+
 def sql_canonical(c: str) -> str:
-    for pattern in (L.BRACKET_TAG, L.EMOJI, L.PUNCTUATION, f"{L.WS}+"):
+    for pattern in SQL_REMOVED:
         c = f"regexp_replace({c}, {q(pattern)}, '', 'g')"
     return c
 
@@ -319,6 +331,112 @@ def compression_ratio(spark, sf):
     return A.compression(rows, E.representatives(E.eligible(rows)))
 
 
+# --- codecs and files ---------------------------------------------------------------------------------------------------
+
+_COUNT = "case when o_orderkey % 4 = 0 then '' when o_orderkey % 4 = 1 then concat(' ', cast(o_orderkey as STR), ' ') else concat(cast(o_orderkey as STR), ',012') end"
+
+
+@query(f"select o_orderkey, cast(nullif(replace(trim(s), ',', ''), '') as bigint) as n, case when o_orderkey % 4 < 2 then cast(nullif(trim(s), '') as bigint) end as plain from (select o_orderkey, {_COUNT.replace('STR', 'varchar')} as s from orders)")
+def codec_counts(spark, sf):
+    s = F.expr(_COUNT.replace("STR", "string"))
+    return table(spark, sf, "orders").select("o_orderkey", T.parse_count(s).alias("n"), T.parse_plain_int(F.when(F.col("o_orderkey") % 4 < 2, s)).alias("plain"))
+
+
+@query("select o_orderkey, case when o_orderkey % 9 = 0 then null else strftime(o_orderdate, '%Y-%m-%d') || ' 01:02:03' end as t from orders")
+def codec_times(spark, sf):
+    s = F.when(F.col("o_orderkey") % 9 == 0, " ").otherwise(F.concat(F.date_format("o_orderdate", "y-M-d"), F.when(F.col("o_orderkey") % 2 == 0, " 1:2:3").otherwise(" 01:02:03")))
+    return table(spark, sf, "orders").select("o_orderkey", F.date_format(T.parse_time(s), "yyyy-MM-dd HH:mm:ss").alias("t"))
+
+
+_FLAG = "case o_orderkey % 7 when 0 then '是' when 1 then ' 否' when 2 then 'True ' when 3 then 'FALSE' when 4 then '' when 5 then 'x' end"
+
+
+@query(f"select o_orderkey, case trim(s) when '是' then true when '否' then false end as yes_no, coalesce(lower(trim(s)) = 'true', false) as flag, case lower(trim(s)) when 'true' then true when 'false' then false end as optional from (select o_orderkey, {_FLAG} as s from orders)")
+def codec_flags(spark, sf):
+    s = F.expr(_FLAG)
+    return table(spark, sf, "orders").select("o_orderkey", T.parse_yes_no(s).alias("yes_no"), T.parse_bool(s).alias("flag"), T.parse_optional_bool(s).alias("optional"))
+
+
+_LIST = """case doc_id % 4 when 0 then '' when 1 then concat('["a","b ', cast(doc_id as STR), '"]') when 2 then '"one"' else '[]' end"""
+
+
+@query("select doc_id, case doc_id % 4 when 1 then 'a|b ' || cast(doc_id as varchar) when 2 then 'one' else '' end as items, case doc_id % 4 when 1 then 2 when 2 then 1 else 0 end as n from documents")
+def codec_lists(spark, sf):
+    items = T.parse_list(F.expr(_LIST.replace("STR", "string")))
+    return table(spark, sf, "documents").select("doc_id", F.array_join(items, "|").alias("items"), F.size(items).cast("int").alias("n"))
+
+
+_ANSWER = """case doc_id % 6 when 0 then '{}' when 1 then '{"choices":[{"message":1}]}' when 2 then concat('{"choices":[{"message":{"content":"c', cast(doc_id as STR), '"}}]}') when 3 then '{"choices":[{"message":{"content":[{"type":"text","text":" a"},{"type":"x","text":"y"},{"type":"text","text":"b"}]}}]}' when 4 then '{"choices":[{"message":{"content":[]}}]}' else '{"choices":[]}' end"""
+
+
+@query("select doc_id, case doc_id % 6 when 2 then 'c' || cast(doc_id as varchar) when 3 then 'ab' end as text, case doc_id % 6 when 0 then 'Missing choices in response payload' when 5 then 'Missing choices in response payload' when 1 then 'Missing message in response payload' when 4 then 'Missing textual content in response payload' end as error from labels")
+def answer_content(spark, sf):
+    text, error = labeller.read_answer(F.expr(_ANSWER.replace("STR", "string")))
+    return table(spark, sf, "labels").select("doc_id", text.alias("text"), error.alias("error"))
+
+
+def raw_export(spark, sf):
+    """The threads as a raw export: text with its headers, some missing, some blank."""
+    c = table(spark, sf, "conversations")
+    name = lambda turn: F.concat_ws("-", F.col("conv_id").cast("string"), turn.cast("string"))
+    return c.select(
+        name(F.col("turn")).alias("评论ID"), F.when(F.col("turn") == 0, "").otherwise(name(F.col("turn") - 1)).alias("上级评论ID"), F.col("role").alias("用户ID"), F.concat(F.lit(" "), "role").alias("用户名"), F.concat(F.lit("第"), F.col("turn").cast("string"), F.lit("楼\r\n \"x\", ok")).alias("评论内容"),
+        F.lit("2026-5-2 0:00:02").alias("评论时间"), F.when(F.col("turn") % 2 == 0, "").otherwise("1,234").alias("点赞数"), F.when(F.col("turn") % 3 == 0, "是").otherwise("").alias("是否为大会员"),
+    )
+
+
+EXPORTED = f"with recursive {{}}, w as (select comment_id, parent_comment_id as cur, 0 as d from t union all select w.comment_id, coalesce(t.parent_comment_id, ''), w.d + 1 from w left join t on t.comment_id = w.cur where w.cur <> ''), e as (select comment_id, max(d) as depth from w group by 1)"
+
+
+@query(EXPORTED.format(THREADS) + """, x as (select *, cast(string_split(comment_id, '-')[2] as int) as turn from e join t using (comment_id))
+ select comment_id, parent_comment_id, user_id, '第' || cast(turn as varchar) || '楼 "x", ok' as clean, '第' || cast(turn as varchar) || '楼' || chr(10) || ' "x", ok' as raw, depth as reply_depth, case when turn % 2 = 0 then 0 else 1234 end as like_count, case when turn % 3 = 0 then true end as vip_flag, '2026-05-02 00:00:02' as t, parent_comment_id = '' as is_root from x""")
+def normalized_export(spark, sf):
+    path = folder(spark, "export")
+    raw_export(spark, sf).write.option("header", True).option("escape", '"').option("emptyValue", "").csv(path)
+    out = S.normalized(spark, path)
+    return out.select("comment_id", "parent_comment_id", F.col("username").alias("user_id"), F.col("comment_text_clean").alias("clean"), F.col("comment_text_raw").alias("raw"), "reply_depth", "like_count", "vip_flag", F.date_format("comment_time", "yyyy-MM-dd HH:mm:ss").alias("t"), "is_root")
+
+
+@query(f"{RULED} select comment_id, clean <> '' as has_text, cast(char_len as varchar) as char_len, case when only_symbols then 'true' else 'false' end as only_symbols, to_json(topics) as topics, cast(like_count as varchar) as likes, '' as no_time, 'true' as is_root from r")
+def fact_text(spark, sf):
+    rest = {c: v for c, v in (S.defaults() | {c: F.lit(None).cast(t) for c, t in (("comment_time", "timestamp_ntz"), ("user_level", "bigint"))}).items()}
+    rows = ruled(spark, sf)
+    rows = rows.withColumns({c: v for c, v in rest.items() if c not in rows.columns})
+    return S.encoded(rows).select("comment_id", (F.col("comment_text_clean") != "").alias("has_text"), "char_len", F.col("is_only_emoji_or_punct").alias("only_symbols"), F.col("rule_topic_tags").alias("topics"), F.col("like_count").alias("likes"), F.col("comment_time").alias("no_time"), "is_root")
+
+
+@query(EXPORTED.format(THREADS) + " select comment_id, depth as reply_depth, case when string_split(comment_id, '-')[2] in ('1', '3', '5', '7', '9') then 1234 else 0 end as like_count, '' as rule_topic_tags from e")
+def fact_csv_round_trip(spark, sf):
+    path, raw = folder(spark, "fact"), folder(spark, "export")
+    raw_export(spark, sf).where("length(`评论ID`) > 0").write.option("header", True).option("escape", '"').option("emptyValue", "").csv(raw)
+    S.write_fact_csv(S.normalized(spark, raw).withColumn("like_count", F.when(F.col("comment_id").rlike("-[13579]$"), 1234).otherwise(0)), path, single=False)
+    return S.read_fact_csv(spark, path).select("comment_id", "reply_depth", "like_count", F.array_join("rule_topic_tags", ",").alias("rule_topic_tags"))
+
+
+@query(f"{CHECKED} select request_id, ok, md5(body) as body_md5, error from d")
+def raw_results_lines(spark, sf):
+    path = folder(spark, "raw")
+    S.write_json(raw_results(spark, sf), path)
+    return S.read_json(spark, path, labeller.RAW).select("request_id", "ok", F.md5("response_text").alias("body_md5"), "error")
+
+
+@query(f"{RULED} select comment_id, cast(is_template as varchar) || ',' || cast(mobilization as varchar) || ',' || array_to_string(topics, '|') || ',' || array_to_string(risks, '|') || ',' || priority as flags, comment_id || ',' || cast(char_len as varchar) || ',' || cast(like_count as varchar) as numbers from r")
+def request_rows(spark, sf):
+    f = lambda c: F.col(f"rule_flags.{c}")
+    flags = F.concat_ws(",", f("is_template_text").cast("string"), f("is_mobilization").cast("string"), F.array_join(f("rule_topic_tags"), "|"), F.array_join(f("rule_risk_tags"), "|"), f("analysis_priority"))
+    return E.requests(ruled(spark, sf)).select("comment_id", flags.alias("flags"), F.concat_ws(",", "comment_id", F.col("char_len").cast("string"), F.col("like_count").cast("string")).alias("numbers"))
+
+
+@query("select doc_id, case doc_id % 5 when 0 then 'a,b' when 1 then 'one' when 2 then '' when 3 then '' else '7' end as items, case doc_id % 6 when 0 then true when 1 then false when 2 then true when 3 then false end as flag, case doc_id % 3 when 0 then '' when 1 then 'g' else '5' end as template_group from labels")
+def label_lines(spark, sf):
+    tags = "case doc_id % 5 when 0 then '[\"a\",\"b\"]' when 1 then '\"one\"' when 2 then 'null' when 3 then '[]' else '7' end"
+    flag = "case doc_id % 6 when 0 then 'true' when 1 then '\" No \"' when 2 then '1' when 3 then '0' when 4 then '\"?\"' else 'null' end"
+    group = "case doc_id % 3 when 0 then 'false' when 1 then '\"g\"' else '5' end"
+    line = F.expr(f"""concat('{{"comment_id":"', cast(doc_id as string), '","topic_tags":', {tags}, ',"is_low_info_confirmed":', {flag}, ',"template_group":', {group}, '}}')""")
+    out = typed_labels(table(spark, sf, "labels").select(line.alias("value"), F.col("doc_id").alias("ordinal")))
+    return out.select(F.col("ordinal").alias("doc_id"), F.array_join("topic_tags", ",").alias("items"), F.col("is_low_info_confirmed").alias("flag"), "template_group")
+
+
 # --- tables that the design asks for beyond the code ------------------------------------------------------------------
 
 LABELED = f"{MERGED}, z as (select comment_id, user_id, like_count, coalesce(p.sentiment, 'old') as sentiment, coalesce(p.stance, 'old') as stance, string_split(coalesce(p.topics, ''), ',') as topics, coalesce(p.risks, '') as risks from m)"
@@ -363,3 +481,40 @@ def risk_samples(spark, sf):
 @query(f"{RULED} select case when low_info then 'D' when like_count >= 50 or reply_count >= 10 then 'A' when len(topics) > 0 or char_len >= 12 then 'B' else 'C' end as tier, count(*) as n from r group by 1")
 def value_tiers(spark, sf):
     return ruled(spark, sf).groupBy(A.tier().alias("tier")).agg(F.count("*").alias("n"))
+
+
+DAYS = f"{RULED}, y as (select *, cast(ordinal % 28 + 1 as varchar) as day, case when reply_count % 2 = 0 then 'true' else 'false' end as vip from r)"
+
+
+def by_day(rows: DataFrame) -> DataFrame:
+    return rows.withColumns({"day": (F.pmod("ordinal", F.lit(28)) + 1).cast("string"), "vip": F.when(F.col("reply_count") % 2 == 0, "true").otherwise("false")})
+
+
+@query(f"{DAYS} select value as left_value, user_id as right_value, {SUMS} from (select unnest(topics) as value, * from y) group by 1, 2")
+def crosstab_topic_user(spark, sf):
+    return A.crosstab(features(doc_comments(spark, sf), RULES), F.explode("rule_topic_tags"), F.col("user_id"))
+
+
+@query(f"{DAYS} select value as left_value, vip as right_value, {SUMS} from (select unnest(risks) as value, * from y) group by 1, 2")
+def crosstab_risk_flag(spark, sf):
+    return A.crosstab(by_day(features(doc_comments(spark, sf), RULES)), F.explode("rule_risk_tags"), F.col("vip"))
+
+
+@query(f"{DAYS} select value as left_value, day as right_value, {SUMS} from (select unnest(topics) as value, * from y) group by 1, 2")
+def crosstab_topic_day(spark, sf):
+    return A.crosstab(by_day(features(doc_comments(spark, sf), RULES)), F.explode("rule_topic_tags"), F.col("day"))
+
+
+@query(f"{DAYS} select cast(mobilization as varchar) as left_value, user_id as right_value, {SUMS} from y group by 1, 2")
+def crosstab_mobilization_user(spark, sf):
+    return A.crosstab(features(doc_comments(spark, sf), RULES), F.col("is_mobilization").cast("string"), F.col("user_id"))
+
+
+@query(f"{LABELED} select stance as left_value, case when cast(comment_id as bigint) % 13 % 2 = 0 then 'true' else 'false' end as right_value, {SUMS} from z group by 1, 2")
+def crosstab_stance_flag(spark, sf):
+    return A.crosstab(by_day(labeled(spark, sf)), F.col("stance"), F.col("vip"))
+
+
+@query(f"{RULED}, v as (select value, comment_id, like_count, row_number() over (partition by value order by like_count desc, ordinal) as place from (select unnest(topics) as value, * from r where priority = 'high')) select * from v where place <= 5")
+def value_samples(spark, sf):
+    return A.samples(ruled(spark, sf), "rule_topic_tags", 5).select("value", "comment_id", "like_count", "place")

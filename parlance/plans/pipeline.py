@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import argparse
+from pathlib import PurePath
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,6 +25,10 @@ def model_inputs(ruled: DataFrame) -> DataFrame:
     return E.requests(E.in_order(E.representatives(E.eligible(ruled))))
 
 
+def one_file(rows: DataFrame, single: bool) -> DataFrame:
+    return rows.coalesce(1) if single else rows
+
+
 def reports(rows: DataFrame, path: str) -> None:
     for field, how in REPORTS:
         S.write_summary_csv(how(rows, field), f"{path}/{field}_summary.csv")
@@ -38,12 +43,32 @@ def profile_text(rows: DataFrame, requests: DataFrame) -> str:
     return "\n".join(lines)
 
 
-def run_pipeline(spark: SparkSession, source: str, out: str, label_file: str | None = None) -> None:
+def profile(spark: SparkSession, source: str, out: str) -> str:
+    """Prints and writes the counters of a fact table by the rules."""
+    ruled = apply_rules(S.read_fact_csv(spark, source))
+    text = profile_text(ruled, E.representatives(E.eligible(ruled)))
+    spark.createDataFrame([(text,)], "value string").write.mode("overwrite").text(out)
+    print(text)
+    return text
+
+
+def run_batch(spark: SparkSession, source: str, out: str, chat, model: str, tasks: int = 1, done: str | None = None) -> dict:
+    """Labels a batch, or what ``done``, the raw rows of an earlier run, lacks of it; returns and prints its counters. The batch's id is the file's name without its ending."""
+    rows = S.read_json(spark, source, f"{REQUEST}, run_id string, batch_id string, request_id string").drop("ordinal")
+    S.write_json(labeller.label(rows, chat, model, tasks, S.read_json(spark, done, labeller.RAW) if done else None), out)
+    raw = S.read_json(spark, out, labeller.RAW)
+    counts = raw.agg(F.count("*").alias("request_count"), F.count_if("ok").alias("success_count"), F.count_if(~F.col("ok")).alias("failure_count")).first().asDict()
+    counts = {"batch_id": PurePath(source.rstrip("/")).name.partition(".")[0].removeprefix("batch=")} | counts
+    print(counts)
+    return counts
+
+
+def run_pipeline(spark: SparkSession, source: str, out: str, label_file: str | None = None, single: bool = True) -> None:
     """Raw file to normalized, ruled and requests, and with labels to labelled rows and reports; Parquet between stages."""
     S.normalized(spark, source).write.mode("overwrite").parquet(f"{out}/normalized")
     apply_rules(spark.read.parquet(f"{out}/normalized")).write.mode("overwrite").parquet(f"{out}/ruled")
     ruled = spark.read.parquet(f"{out}/ruled")
-    S.write_json(model_inputs(ruled).coalesce(1), f"{out}/model_input")
+    S.write_json(one_file(model_inputs(ruled), single), f"{out}/model_input")
     if label_file:
         merge_labels(ruled, typed_labels(S.read_lines(spark, label_file))).write.mode("overwrite").parquet(f"{out}/labeled")
         reports(spark.read.parquet(f"{out}/labeled"), f"{out}/reports")
@@ -68,16 +93,20 @@ def parser() -> argparse.ArgumentParser:
         for option in needed:
             c.add_argument(f"--{option}", required=True, type=int if option == "batch-size" else str)
         for option in optional:
-            c.add_argument(f"--{option}", type=float if option == "timeout-seconds" else str)
-
-    add("normalize", ("input", "output"))
-    add("prepare-model", ("input", "records-output", "jsonl-output"))
-    add("merge-labels", ("input", "labels", "output"))
+            if option == "part-files":
+                c.add_argument("--part-files", action="store_true", help="many files, in order, and not one")
+            else:
+                c.add_argument(f"--{option}", type={"timeout-seconds": float, "tasks": int, "attempts": int}.get(option, str))
+
+    add("normalize", ("input", "output"), ("part-files",))
+    add("prepare-model", ("input", "records-output", "jsonl-output"), ("part-files",))
+    add("merge-labels", ("input", "labels", "output"), ("part-files",))
+    add("profile", ("input", "output"))
     add("aggregate", ("input", "output-dir"))
     add("build-batches", ("input", "output-dir", "batch-size", "run-id"))
-    add("run-batch-label", ("input", "output"), ("base-url", "model", "timeout-seconds"))
+    add("run-batch-label", ("input", "output"), ("base-url", "model", "timeout-seconds", "tasks", "attempts", "done"))
     add("validate-labels", ("input", "output", "failures-output"))
-    add("run-pipeline", ("input", "output-dir"), ("labels",))
+    add("run-pipeline", ("input", "output-dir"), ("labels", "part-files"))
     return p
 
 
@@ -87,25 +116,26 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         return 0
     spark = spark or SparkSession.builder.appName("parlance").getOrCreate()
     if a.command == "normalize":
-        S.write_fact_csv(S.normalized(spark, a.input), a.output)
+        S.write_fact_csv(S.normalized(spark, a.input), a.output, not a.part_files)
     elif a.command == "prepare-model":
         ruled = apply_rules(S.read_fact_csv(spark, a.input))
-        S.write_fact_csv(ruled, a.records_output)
-        S.write_json(model_inputs(ruled).coalesce(1), a.jsonl_output)
+        S.write_fact_csv(ruled, a.records_output, not a.part_files)
+        S.write_json(one_file(model_inputs(ruled), not a.part_files), a.jsonl_output)
     elif a.command == "merge-labels":
-        S.write_fact_csv(merge_labels(S.read_fact_csv(spark, a.input), typed_labels(S.read_lines(spark, a.labels))), a.output)
+        S.write_fact_csv(merge_labels(S.read_fact_csv(spark, a.input), typed_labels(S.read_lines(spark, a.labels))), a.output, not a.part_files)
+    elif a.command == "profile":
+        profile(spark, a.input, a.output)
     elif a.command == "aggregate":
         reports(S.read_fact_csv(spark, a.input), a.output_dir)
     elif a.command == "build-batches":
         S.write_json(E.batched(S.read_json(spark, a.input, REQUEST), a.batch_size, a.run_id, "ordinal").withColumn("batch", F.col("batch_id")), a.output_dir, "batch")
     elif a.command == "run-batch-label":
         s = get_settings(base_url=a.base_url, model=a.model, timeout_seconds=a.timeout_seconds)
-        rows = S.read_json(spark, a.input, f"{REQUEST}, run_id string, batch_id string, request_id string").drop("ordinal")
-        S.write_json(labeller.label(rows, labeller.http_transport(s.base_url, s.api_key, s.model, s.timeout_seconds), s.model), a.output)
+        run_batch(spark, a.input, a.output, labeller.Chat(s.base_url, s.api_key, s.timeout_seconds, a.attempts or 1), s.model, a.tasks or 1, a.done)
     elif a.command == "validate-labels":
         print(validate(spark, a.input, a.output, a.failures_output))
     elif a.command == "run-pipeline":
-        run_pipeline(spark, a.input, a.output_dir, a.labels)
+        run_pipeline(spark, a.input, a.output_dir, a.labels, not a.part_files)
     return 0
 
 

@@ -18,9 +18,9 @@ RAW_HEADERS = {"comment_id": "评论ID", "parent_comment_id": "上级评论ID",
 VIP_HEADERS = ("是否是大会员", "是否为大会员")
 
 
-def read_csv(spark: SparkSession, path: str) -> DataFrame:
-    """All columns as strings, in file order under ``ordinal``: a file with line feeds inside quotes is one partition."""
-    rows = spark.read.option("header", True).option("multiLine", True).option("quote", '"').option("escape", '"').csv(path)
+def read_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """All columns as strings, in file order under ``ordinal``: a file with line feeds inside quotes is one partition; one without can be split."""
+    rows = spark.read.option("header", True).option("multiLine", multi_line).option("quote", '"').option("escape", '"').csv(path)
     return rows.withColumns({"ordinal": F.monotonically_increasing_id(), "source_file": F.element_at(F.split(F.input_file_name(), "/"), -1) if "source_file" not in rows.columns else F.col("source_file")})
 
 
@@ -63,8 +63,13 @@ def encoded(rows: DataFrame) -> DataFrame:
     return rows.select("ordinal", *out)
 
 
-def write_fact_csv(rows: DataFrame, path: str) -> None:
-    out = encoded(rows).coalesce(1).sortWithinPartitions("ordinal").drop("ordinal")
+def in_files(rows: DataFrame, single: bool, *order) -> DataFrame:
+    """Rows in order, in one file or in as many as the sort makes, in the order of their names."""
+    return rows.coalesce(1).sortWithinPartitions(*order) if single else rows.orderBy(*order)
+
+
+def write_fact_csv(rows: DataFrame, path: str, single: bool = True) -> None:
+    out = in_files(encoded(rows), single, "ordinal").drop("ordinal")
     out.write.mode("overwrite").option("header", True).option("escape", '"').option("emptyValue", "").option("nullValue", "").csv(path)
 
 
@@ -93,5 +98,6 @@ def write_json(rows: DataFrame, path: str, *by: str) -> None:
 
 
 def write_summary_csv(summary: DataFrame, path: str) -> None:
-    out = summary.select("value", "comment_count", "unique_user_count", "like_count_sum").coalesce(1)
-    out.sortWithinPartitions(F.desc("comment_count"), F.desc("like_count_sum"), "value").write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    """One file: a row a value."""
+    out = in_files(summary.select("value", "comment_count", "unique_user_count", "like_count_sum"), True, F.desc("comment_count"), F.desc("like_count_sum"), "value")
+    out.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)

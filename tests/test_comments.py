@@ -11,7 +11,7 @@ from parlance.operators import labeller
 from parlance.operators.merge import merge_labels, typed_labels
 from parlance.operators.reply_tree import reply_depth
 from parlance.operators.rules import apply_rules
-from parlance.plans.pipeline import main
+from parlance.plans.pipeline import main, run_batch
 from parlance.sources import comments as S
 from parlance.sources.settings import env_lines, get_settings
 
@@ -40,7 +40,7 @@ def test_raw_export_and_csv_round_trip(spark, tmp_path):
     assert key(back) == key(ruled)
 
 
-@pytest.mark.parametrize(("given", "form"), [("认错态度不端正，处理方案难服众！", "认错态度不端正处理方案难服众"), ("冲[打call]", "冲"), ("冲冲冲😡😡", "冲冲冲"), ("", ""), ("顶", "顶"), ("冲!", "冲!")])
+@pytest.mark.parametrize(("given", "form"), [("认错态度不端正，处理方案难服众！", "认错态度不端正处理方案难服众"), ("冲[打call]", "冲"), ("冲冲冲😡😡", "冲冲冲"), ("", ""), ("顶", "顶"), ("冲!", "冲!"), ('他说"好"', '他说"好"'), ("a\\b", "a\\b"), ("'a' [b] @c", "ac"), ("❤️ a\u3000b\u200b👨\u200d👩", "ab"), ("[一二三四五六七八九十]x[]", "x"), ("[一二三四五六七八九十甲]x", "一二三四五六七八九十甲x")])
 def test_canonical(spark, given, form):
     assert spark.createDataFrame([(given,)], "t string").select(T.canonical("t")).first()[0] == form
 
@@ -136,21 +136,64 @@ def test_aggregates(spark):
     assert [tuple(r) for r in A.by_field(rows, "flag").collect()] == [("True", 2, 2, 12)]
 
 
-def test_labeller_and_messages(spark):
-    requests = spark.createDataFrame([("c1", "", "run", "b", "r1"), ("c2", "", "run", "b", "r2")], "comment_id string, template_group string, run_id string, batch_id string, request_id string")
-
-    def transport(row):
-        if row["comment_id"] == "c2":
-            raise RuntimeError("HTTP 500: x")
-        return "{}"
-
-    got = {r.request_id: r for r in labeller.label(requests, transport, "m", tasks=2).collect()}
-    assert got["r1"].ok and not got["r2"].ok and got["r2"].error == "HTTP 500: x"
-    text = json.dumps(labeller.messages({"comment_id": "c1"}), ensure_ascii=False)
-    assert all(w in text for w in ("JSON", "公关质疑", "要求进一步处理", "支持父评论", "emotion_intensity", "冲就完了", "其他人是没手吗", *V.FIELDS))
-    assert labeller.content_of({"choices": [{"message": {"content": [{"type": "text", "text": " a "}]}}]}) == "a"
-    with pytest.raises(RuntimeError, match="Missing choices"):
-        labeller.content_of({})
+def test_labeller(spark):
+    requests = spark.createDataFrame([(f"c{i}", "", "run", "b", f"r{i}") for i in range(9)], "comment_id string, template_group string, run_id string, batch_id string, request_id string")
+    answer = lambda content: (200, json.dumps({"choices": [{"message": {"content": content}}]}, ensure_ascii=False))
+    answers = {
+        "c0": answer("{}"), "c1": (500, "x"), "c2": (0, "refused"), "c3": (200, "{}"), "c4": (200, '{"choices":[{"message":7}]}'), "c5": answer([{"type": "text", "text": " a"}, {"type": "image"}, {"type": "text", "text": "b "}]),
+        "c6": answer([{"type": "text", "text": " "}]), "c7": answer(None), "c8": answer(""),
+    }
+
+    def chat(body):
+        sent = json.loads(body)
+        system, user = sent["messages"]
+        assert (sent["model"], sent["temperature"], sent["response_format"], system["role"]) == ("m", 0.0, {"type": "json_object"}, "system")
+        return answers[json.loads(user["content"].partition("评论：")[2])["comment_id"]]
+
+    got = {r.comment_id: (r.ok, r.response_text, r.error, r.request_id) for r in labeller.label(requests, chat, "m", tasks=2).collect()}
+    assert got == {
+        "c0": (True, "{}", "", "r0"), "c1": (False, "", "HTTP 500: x", "r1"), "c2": (False, "", "Request failed: refused", "r2"), "c3": (False, "", labeller.NO_CHOICES, "r3"), "c4": (False, "", labeller.NO_MESSAGE, "r4"),
+        "c5": (True, "ab", "", "r5"), "c6": (False, "", labeller.NO_TEXT, "r6"), "c7": (False, "", labeller.NO_TEXT, "r7"), "c8": (True, "", "", "r8"),
+    }
+    done = spark.createDataFrame([("r0",), ("r8",)], "request_id string")
+    assert labeller.label(requests, chat, "m", done=done).count() == 7
+    assert all(w in labeller.SYSTEM + labeller.USER for w in ("JSON", "公关质疑", "要求进一步处理", "父评论", "emotion_intensity", "冲就完了", "其他人是没手吗", "五字", "打call", "以“战”开头", "懦弱", *V.FIELDS))
+
+
+def test_chat_and_batch_command(spark, tmp_path):
+    from http.server import BaseHTTPRequestHandler, ThreadingHTTPServer
+    from threading import Thread
+
+    seen = []
+
+    class Handler(BaseHTTPRequestHandler):
+        protocol_version = "HTTP/1.1"
+
+        def do_POST(self):
+            body = self.rfile.read(int(self.headers["Content-Length"])).decode()
+            seen.append((self.path, self.headers["Authorization"]))
+            fails = "坏" in body or "忙" in body and len(seen) < 4
+            out = b"no" if fails else '{"choices":[{"message":{"content":"好"}}]}'.encode()
+            self.send_response(400 if "坏" in body else 503 if fails else 200)
+            self.send_header("Content-Length", str(len(out)))
+            self.end_headers()
+            self.wfile.write(out)
+
+        def log_message(self, *_):
+            pass
+
+    server = ThreadingHTTPServer(("127.0.0.1", 0), Handler)
+    Thread(target=server.serve_forever, daemon=True).start()
+    chat = labeller.Chat(f"http://127.0.0.1:{server.server_port}/v1/", "key", 5.0, attempts=3)
+    assert chat("坏") == (400, "no") and chat("好")[0] == 200 and set(seen) == {("/v1/chat/completions", "Bearer key")}
+    rows = [{"comment_id": f"c{i}", "comment_text_clean": t, "run_id": "run", "batch_id": "run-batch-0001", "request_id": f"r{i}", "template_group": ""} for i, t in enumerate(["忙", "坏", "好"])]
+    (tmp_path / "run-batch-0001.jsonl").write_text("\n".join(json.dumps(r, ensure_ascii=False) for r in rows), "utf-8")
+    count = lambda n, ok: {"batch_id": "run-batch-0001", "request_count": n, "success_count": ok, "failure_count": n - ok}
+    assert run_batch(spark, str(tmp_path / "run-batch-0001.jsonl"), str(tmp_path / "raw"), chat, "m") == count(3, 2)
+    assert run_batch(spark, str(tmp_path / "run-batch-0001.jsonl"), str(tmp_path / "again"), chat, "m", 2, str(tmp_path / "raw")) == count(0, 0)
+    server.shutdown()
+    server.server_close()
+    assert labeller.Chat(f"http://127.0.0.1:{server.server_port}", "key", 5.0)("好")[0] == 0
 
 
 def test_settings(monkeypatch, tmp_path):
@@ -178,6 +221,11 @@ def test_commands(spark, tmp_path):
     staged = S.read_fact_csv(spark, t("r"))
     key = lambda df: sorted(map(str, df.select(*S.COLUMNS).collect()))
     assert key(fused) == key(staged)
+    main(["profile", "--input", t("r"), "--output", t("p")], spark)
+    lines = [r.value for r in spark.read.text(t("p")).collect()]
+    assert lines[:2] == ["total: 2", "n_is_low_info: 1"] and "ratio: 2.0" in lines and "priority low: 1" in lines
+    main(["normalize", "--input", t("raw.csv"), "--output", t("n2"), "--part-files"], spark)
+    assert key(S.read_fact_csv(spark, t("n2"))) == key(S.read_fact_csv(spark, t("n")))
     main(["build-batches", "--input", t("j"), "--output-dir", t("b"), "--batch-size", "2", "--run-id", "run-1"], spark)
     assert {r.request_id for r in spark.read.json(t("b")).collect()} == {f"run-1-{i:06d}" for i in range(1, fused.where("analysis_priority <> 'low'").count() + 1)}
     assert main([], spark) == 0
