@@ -5,8 +5,8 @@ a fixed-size-list column of token ids and one of mask bits (true: a token, false
 any sequence is found by arithmetic and read without a copy from a memory map. ``part-*.docs.arrow`` lists the file's
 documents in order with the place of their first token. The table of files (one row each) is Parquet, beside them.
 
-Documents are dealt by ranges of doc_id; each range is one file, written by one task to a name of its own, so a task that
-runs twice leaves a file that no row names. A document's place among all documents is the sum of the tokens of the
+Documents are dealt by ranges of doc_id; each range is written by one task, to files of bounded size under names of its own, so a task that
+runs twice leaves files that no row names. A document's place among all documents is the sum of the tokens of the
 earlier files, from the table of files, and its place in its file.
 """
 
@@ -22,6 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -29,13 +30,15 @@ from pyspark.sql import functions as F
 from parlance.llm.common import bounded_batches, new_path, spread
 
 LENGTH = 2048
-#: Sequences in a record batch.
-GROUP = 256
+#: Sequences in a record batch; tokens after which a file ends with the next document.
+GROUP, FILE_TOKENS = 256, 1 << 27
 FILES = "file string, low bigint, docs bigint, tokens bigint"
 DOCS = "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint"
 
 #: White space other than space and line feed.
-_OTHER_SPACE = re.compile("[\t\x0b\x0c\r\x1c-\x1f\x85\xa0  -     　]")
+_OTHER_SPACE = "[\t\x0b\x0c\r\x1c-\x1f\x85\xa0  -     　]"
+#: Marks that end words, but for those of contractions.
+_MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 class Encoder:
@@ -43,11 +46,11 @@ class Encoder:
 
     A byte-level BPE encodes the parts between word boundaries on their own. A space or a line feed between two characters
     that are not white space is such a boundary, so the ids of a text are those of its lines' first words, of its other words with the
-    space before them, and of line feeds. A text with other white space or with a special token's string is encoded whole.
-    ``words`` bounds the memory.
+    space before them, and of line feeds. A text with other white space or with a special token's string is encoded whole, and so are all
+    texts once a token is met that crosses such a boundary. ``words`` bounds the memory.
     """
 
-    def __init__(self, path: str, words: int = 400_000):
+    def __init__(self, path: str, words: int = 800_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -58,57 +61,81 @@ class Encoder:
         self.widths = np.zeros(self.tokenizer.get_vocab_size(), np.int64)
         for token, i in self.tokenizer.get_vocab().items():
             self.widths[i] = len(token)
-        self.line_feed, *marks = self.ids(["\n", ",", "."])
-        self.marks = dict(zip(",.", marks, strict=True))
+        self.line_feed = self.ids(["\n"])[0]
+        #: Texts with any of these are encoded whole: white space other than single spaces and line feeds between words, special tokens.
+        self.odd = "|".join(["  ", " \n", "\n ", "\n\n", "^[ \n]", "[ \n]$", _OTHER_SPACE, *(re.escape(x) for x in self.special)])
+        #: Marks after a letter to their ids, null where the letter and the marks may share a token.
+        self.tails: dict[str, bytes | None] = {}
         #: Words with and without a space before them.
         self.later: dict[str, bytes] = {}
         self.first: dict[str, bytes] = {}
-        self.words = words
+        self.words, self.by_words = words, True
 
     def ids(self, texts: list[str]) -> list[bytes]:
         return [np.array(x.ids, self.type).tobytes() for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def plain(self, text: str) -> bool:
-        return bool(text) and not ("  " in text or " \n" in text or "\n " in text or "\n\n" in text or text[0] in " \n" or text[-1] in " \n" or any(x in text for x in self.special) or _OTHER_SPACE.search(text))
-
-    def encode(self, texts: list[str]) -> list[bytes]:
+    def encode(self, texts: pa.Array) -> list[bytes]:
+        """Ids of each text. Words are units between spaces; Arrow finds the distinct ones of all texts and lays their ids out in the order of the words."""
         if len(self.later) + len(self.first) > self.words:  # short words come back the most
-            self.later, self.first = ({w: x for w, x in known.items() if len(w) <= 7} for known in (self.later, self.first))
-            if len(self.later) + len(self.first) > self.words // 2:
-                self.later, self.first = {}, {}
-        lines = [[line.split(" ") for line in t.split("\n")] if self.plain(t) else None for t in texts]
-        whole = iter(self.ids([t for t, x in zip(texts, lines, strict=True) if x is None]))
-        firsts = [[x.pop(0) for x in doc] for doc in lines if doc is not None]
-        self.learn(list(set().union(*firsts).difference(self.first)), self.first, False)
-        self.learn(list(set().union(*(x for doc in lines if doc is not None for x in doc)).difference(self.later)), self.later, True)
-        out, first, later, heads = [], self.first, self.later, iter(firsts)
-        for doc in lines:
-            if doc is None:
-                out.append(next(whole))
-            else:
-                out.append(self.line_feed.join([first[w] + b"".join(map(later.__getitem__, x)) for w, x in zip(next(heads), doc, strict=True)]))
-        return out
-
-    def learn(self, new: list[str], known: dict[str, bytes], spaced: bool) -> None:
+            for known in (self.later, self.first):
+                kept = {w: x for w, x in known.items() if len(w) <= 7}
+                known.clear()
+                if len(kept) <= self.words // 4:
+                    known.update(kept)
+        plain = pc.invert(pc.or_(pc.match_substring_regex(texts, self.odd), pc.equal(texts, ""))) if self.by_words else pa.array(np.zeros(len(texts), bool))
+        whole = iter(self.ids(texts.filter(pc.invert(plain)).to_pylist()))
+        # A line feed before the text makes its first word one after a line feed, like the other lines' first words.
+        units = pc.split_pattern(pc.binary_join_element_wise("\n", texts.filter(plain), ""), " ")
+        words = units.flatten().dictionary_encode()
+        distinct = pc.binary_join(pa.ListArray.from_arrays([0, len(words.dictionary)], words.dictionary), " ")[0].as_py().split(" ") if len(words) else []
+        codes = list(map(self.later.get, distinct))
+        new = {w: i for i, w in enumerate(distinct) if codes[i] is None}
+        lines = {w: w.split("\n") for w in new if "\n" in w}
+        firsts, laters = {x for parts in lines.values() for x in parts[1:]}, {parts[0] for parts in lines.values()}.union(w for w in new if w not in lines)
+        laters.discard("")
+        if not (self.learn(firsts.difference(self.first), self.first, False) and self.learn(laters.difference(self.later), self.later, True)):
+            self.by_words = False
+            return self.encode(texts)
+        for w, i in new.items():
+            codes[i] = self.line_feed.join([self.later[lines[w][0]] if lines[w][0] else b"", *map(self.first.__getitem__, lines[w][1:])]) if w in lines else self.later[w]
+        laid = pa.array(codes, pa.large_binary()).take(words.indices)
+        ends = np.frombuffer(laid.buffers()[1], np.int64)[laid.offset : laid.offset + len(laid) + 1] if len(laid) else np.zeros(1, np.int64)
+        at = (ends[np.asarray(units.offsets) - (units.offsets[0].as_py() if len(units) else 0)]).tolist()
+        data = memoryview(laid.buffers()[2]) if len(laid) else memoryview(b"")
+        skip = len(self.line_feed)
+        done = iter([data[lo + skip : hi].tobytes() for lo, hi in zip(at, at[1:], strict=False)])
+        return [next(done) if x else next(whole) for x in plain.to_pylist()]
+
+    def tail(self, marks: str) -> bytes | None:
+        if marks not in self.tails:
+            cut = self.tokenizer.pre_tokenizer.pre_tokenize_str("a" + marks)
+            self.tails[marks] = self.ids([marks])[0] if cut[0][1] == (0, 1) else None
+        return self.tails[marks]
+
+    def learn(self, new: set[str], known: dict[str, bytes], spaced: bool) -> bool:
         """Many words are encoded in one text, with the boundary that they stand at, and told apart by the bytes of their ids."""
-        marked = [x for x in new if x[-1] in ",." and x[-2:-1].isalpha()]
-        if marked:  # a mark after a letter is a part of its own
-            bare = {x[:-1] for x in marked}.difference(known)
-            self.learn(list(bare.union(set(new).difference(marked))), known, spaced)
-            known.update({x: known[x[:-1]] + self.marks[x[-1]] for x in marked})
-            return
+        marked = []
+        for x in new:
+            if x[-1] in _MARKS and (bare := x.rstrip(_MARKS)) and bare[-1].isalpha() and (tail := self.tail(x[len(bare) :])) is not None:
+                marked.append((x, bare, tail))
+        if marked:
+            new = new.difference(x for x, _, _ in marked).union(bare for _, bare, _ in marked if bare not in known)
+        new = list(new)
         groups = [new[lo : lo + 4000] for lo in range(0, len(new), 4000)]
         size = np.dtype(self.type).itemsize
         joined = [" " + " ".join(g) if spaced else "\n".join(g) for g in groups]
-        for group, data in zip(groups, self.ids(joined), strict=True):
-            ends = np.cumsum([len(x.encode()) + 1 for x in group]) - (0 if spaced else 1)
+        for group, text, data in zip(groups, joined, self.ids(joined), strict=True):
+            raw = np.frombuffer(text.encode(), np.uint8)
+            ends = np.append(np.flatnonzero(raw == 32)[1:] if spaced else np.flatnonzero(raw == 10), len(raw))
             at = np.cumsum(self.widths[np.frombuffer(data, self.type)])
             cut = np.searchsorted(at, ends) + 1
-            if (at[cut - 1] != ends).any():
-                raise ValueError("a token crosses a word boundary: not a byte-level tokenizer")
+            if cut[-1] > len(at) or (at[cut - 1] != ends).any():
+                return False
             cut = (cut * size).tolist()
             starts = [0, *cut[:-1]] if spaced else [0, *(c + len(self.line_feed) for c in cut[:-1])]
             known.update({x: data[a:b] for x, a, b in zip(group, starts, cut, strict=True)})
+        known.update({x: known[bare] + tail for x, bare, tail in marked})
+        return True
 
 
 def encoder_of(path: str) -> Encoder:
@@ -161,27 +188,54 @@ class SequenceWriter:
         self.sink.close()
 
 
-def write_batches(batches: Iterator[pa.RecordBatch], root: str, tokenizer: str, end: int | None, length: int) -> Iterator[pa.RecordBatch]:
-    encoder, out, name = None, None, f"part-{uuid.uuid4().hex}"
-    docs: list[tuple] = []
-    low = None
+class FileWriter:
+    """One sequence file and the list of its documents, both written as they come."""
+
+    def __init__(self, root: str, name: str, kind: type, length: int):
+        self.name, self.ids = name, SequenceWriter(root, name, kind, length)
+        self.schema = pa.schema([(c, pa.int64()) for c in ("doc_id", "start", "n_tokens")])
+        self.sink = self.ids.fs.open_output_stream(self.ids.file.removesuffix(".arrow") + ".docs.arrow")
+        self.list = pa.ipc.new_file(self.sink, self.schema)
+        self.rows: list[tuple] = []
+        self.low, self.docs = None, 0
+
+    def add(self, doc_id: int | None, code: bytes) -> None:
+        if not self.docs:
+            self.low = doc_id
+        self.rows.append((doc_id, self.ids.tokens, len(code) // np.dtype(self.ids.kind).itemsize))
+        self.docs += 1
+        self.ids.add(code)
+        if len(self.rows) >= 1 << 16:
+            self.put()
+
+    def put(self) -> None:
+        if self.rows:
+            self.list.write_batch(pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*self.rows, strict=True)], schema=self.schema))
+            self.rows = []
+
+    def close(self) -> pa.RecordBatch:
+        self.put()
+        self.list.close()
+        self.sink.close()
+        self.ids.close()
+        return pa.RecordBatch.from_arrays([pa.array([self.name]), pa.array([self.low], pa.int64()), pa.array([self.docs], pa.int64()), pa.array([self.ids.tokens], pa.int64())], ["file", "low", "docs", "tokens"])
+
+
+def write_batches(batches: Iterator[pa.RecordBatch], root: str, tokenizer: str, end: int | None, length: int, tokens: int) -> Iterator[pa.RecordBatch]:
+    encoder, out, made, task = None, None, 0, uuid.uuid4().hex
     for batch in batches:
         ids, texts = batch.column(0).to_pylist(), batch.column(1)
-        for lo in range(0, len(ids), 500):
-            if out is None:
-                encoder = encoder_of(tokenizer)
-                out, low = SequenceWriter(root, name, encoder.type, length), ids[0]
-                last = b"" if end is None else np.array([end], encoder.type).tobytes()
-            for doc_id, code in zip(ids[lo : lo + 500], encoder.encode([x or "" for x in texts[lo : lo + 500].to_pylist()]), strict=True):
-                docs.append((doc_id, out.tokens, len(code + last) // np.dtype(encoder.type).itemsize))
-                out.add(code + last)
+        for lo in range(0, len(ids), 2000):
+            encoder = encoder or encoder_of(tokenizer)
+            last = b"" if end is None else np.array([end], encoder.type).tobytes()
+            for doc_id, code in zip(ids[lo : lo + 2000], encoder.encode(texts[lo : lo + 2000].fill_null("")), strict=True):
+                out = out or FileWriter(root, f"part-{task}-{made:06d}", encoder.type, length)
+                out.add(doc_id, code + last)
+                if out.ids.tokens >= tokens:
+                    yield out.close()
+                    out, made = None, made + 1
     if out is not None:
-        out.close()
-        columns = list(zip(*docs, strict=True))
-        table = pa.table([pa.array(c, pa.int64()) for c in columns], ["doc_id", "start", "n_tokens"])
-        with out.fs.open_output_stream(out.file.removesuffix(".arrow") + ".docs.arrow") as sink, pa.ipc.new_file(sink, table.schema) as w:
-            w.write_table(table, 65536)
-        yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([low], pa.int64()), pa.array([len(docs)], pa.int64()), pa.array([out.tokens], pa.int64())], ["file", "low", "docs", "tokens"])
+        yield out.close()
 
 
 class SequenceFile:
@@ -192,18 +246,25 @@ class SequenceFile:
         path = f"{base}/{name}.arrow"
         self.source = pa.memory_map(path) if isinstance(self.fs, pafs.LocalFileSystem) else self.fs.open_input_file(path)
         self.reader = pa.ipc.open_file(self.source)
-        with self.fs.open_input_file(f"{base}/{name}.docs.arrow") as f:
-            self.docs = pa.ipc.open_file(f).read_all()
+        self.docs = f"{base}/{name}.docs.arrow"
 
-    def sequence(self, k: int) -> tuple[np.ndarray, np.ndarray]:
+    def sequence(self, k: int) -> tuple[np.ndarray, pa.BooleanArray]:
+        """The ``k``-th sequence's ids and mask, both views of the file: nothing is copied from a memory map."""
         batch = self.reader.get_batch(k // GROUP)
         ids, mask = batch.column("input_ids")[k % GROUP].values, batch.column("mask")[k % GROUP].values
-        return ids.to_numpy(), mask.to_numpy(zero_copy_only=False)
+        return ids.to_numpy(zero_copy_only=True), mask
+
+    def documents(self) -> Iterator[tuple[int, int, int]]:
+        """(doc_id, place of the first token, number of tokens), in order."""
+        with self.fs.open_input_file(self.docs) as f:
+            table = pa.ipc.open_file(f)
+            for k in range(table.num_record_batches):
+                yield from zip(*(c.to_pylist() for c in table.get_batch(k).columns), strict=True)
 
     def tokens(self) -> Iterator[tuple[int, int, np.ndarray]]:
         """(doc_id, start, ids) of each document."""
         k, held = 0, np.empty(0)
-        for doc_id, start, n in zip(*(c.to_pylist() for c in self.docs.columns), strict=True):
+        for doc_id, start, n in self.documents():
             parts, lacking = [held[:n]], n - len(held[:n])
             held = held[n:]
             while lacking:
@@ -236,19 +297,21 @@ def doc_batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], ["doc_id", "start", "n_tokens", "ids_crc32"])
 
 
-def write_tokens(docs: DataFrame, root: str, tokenizer: str, end: int | None = None, length: int = LENGTH, files: int | None = None) -> DataFrame:
+def write_tokens(docs: DataFrame, root: str, tokenizer: str, end: int | None = None, length: int = LENGTH, ranges: int | None = None, tokens: int = FILE_TOKENS) -> DataFrame:
     """Writes documents as sequence files under ``root`` and returns the table of files.
 
-    Null texts are empty; a null doc_id comes first; rows that repeat a doc_id are ordered by text; further columns are
+    A range of doc_ids is a task, which begins a new file once one has ``tokens`` tokens, so files stay of one size however many
+    documents there are. Null texts are empty; a null doc_id comes first; rows that repeat a doc_id are ordered by text and are
+    documents of their own; a text of any length is one document, which may go over many sequences; further columns are
     ignored; an empty table writes no file. ``end`` is appended to each document.
     """
     spark = docs.sparkSession
     bounded_batches(spark)
     opened(root)[0].create_dir(opened(root)[1], recursive=True)
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    rows = rows.repartitionByRange(files or spread(spark), "doc_id").sortWithinPartitions("doc_id", F.length("text"), "text")
+    rows = rows.repartitionByRange(ranges or spread(spark), "doc_id").sortWithinPartitions("doc_id", F.length("text"), "text")
     path = f"{root}/files.parquet"
-    rows.mapInArrow(lambda it: write_batches(it, root, tokenizer, end, length), FILES).write.parquet(path)
+    rows.mapInArrow(lambda it: write_batches(it, root, tokenizer, end, length, tokens), FILES).write.parquet(path)
     return spark.read.schema(FILES).parquet(path)
 
 
