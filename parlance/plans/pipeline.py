@@ -103,7 +103,7 @@ def parser() -> argparse.ArgumentParser:
     add("merge-labels", ("input", "labels", "output"), ("part-files",))
     add("profile", ("input", "output"))
     add("aggregate", ("input", "output-dir"))
-    add("build-batches", ("input", "output-dir", "batch-size", "run-id"))
+    add("build-batches", ("input", "output-dir", "batch-size", "run-id"), ("part-files",))
     add("run-batch-label", ("input", "output"), ("base-url", "model", "timeout-seconds", "tasks", "attempts", "done"))
     add("validate-labels", ("input", "output", "failures-output"))
     add("run-pipeline", ("input", "output-dir"), ("labels", "part-files"))
@@ -128,7 +128,11 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     elif a.command == "aggregate":
         reports(S.read_fact_csv(spark, a.input), a.output_dir)
     elif a.command == "build-batches":
-        S.write_json(E.batched(S.read_json(spark, a.input, REQUEST), a.batch_size, a.run_id, "ordinal").withColumn("batch", F.col("batch_id")), a.output_dir, "batch")
+        rows = E.batched(S.read_json(spark, a.input, REQUEST), a.batch_size, a.run_id, "ordinal").withColumn("batch", F.col("batch_id"))
+        if a.part_files:
+            S.write_json(rows.drop("ordinal"), a.output_dir, "batch")
+        else:
+            S.write_named(rows, a.output_dir, "batch", ".jsonl")
     elif a.command == "run-batch-label":
         s = get_settings(base_url=a.base_url, model=a.model, timeout_seconds=a.timeout_seconds)
         run_batch(spark, a.input, a.output, labeller.Chat(s.base_url, s.api_key, s.timeout_seconds, a.attempts or 1), s.model, a.tasks or 1, a.done)

@@ -97,6 +97,20 @@ def write_json(rows: DataFrame, path: str, *by: str) -> None:
     (writer.partitionBy(*by) if by else writer).json(path)
 
 
+def write_named(rows: DataFrame, path: str, by: str, ending: str) -> None:
+    """JSON lines, one file for each value of ``by`` and named after it. A value's rows must fit into a task; files are renamed one by one."""
+    spark = rows.sparkSession
+    write_json(rows.repartition(by).sortWithinPartitions(by, "ordinal").drop("ordinal"), path, by)
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = at(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for folder in fs.listStatus(at(path)):
+        name = folder.getPath().getName()
+        if folder.isDirectory() and name.startswith(f"{by}="):
+            parts = [x.getPath() for x in fs.listStatus(folder.getPath()) if x.getPath().getName().startswith("part-")]
+            fs.rename(parts[0], at(path, name.removeprefix(f"{by}=") + ending))
+            fs.delete(folder.getPath(), True)
+
+
 def write_summary_csv(summary: DataFrame, path: str) -> None:
     """One file: a row a value."""
     out = in_files(summary.select("value", "comment_count", "unique_user_count", "like_count_sum"), True, F.desc("comment_count"), F.desc("like_count_sum"), "value")

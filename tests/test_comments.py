@@ -226,6 +226,10 @@ def test_commands(spark, tmp_path):
     assert lines[:2] == ["total: 2", "n_is_low_info: 1"] and "ratio: 2.0" in lines and "priority low: 1" in lines
     main(["normalize", "--input", t("raw.csv"), "--output", t("n2"), "--part-files"], spark)
     assert key(S.read_fact_csv(spark, t("n2"))) == key(S.read_fact_csv(spark, t("n")))
-    main(["build-batches", "--input", t("j"), "--output-dir", t("b"), "--batch-size", "2", "--run-id", "run-1"], spark)
-    assert {r.request_id for r in spark.read.json(t("b")).collect()} == {f"run-1-{i:06d}" for i in range(1, fused.where("analysis_priority <> 'low'").count() + 1)}
+    many = fused.where("analysis_priority <> 'low'").count()
+    main(["build-batches", "--input", t("j"), "--output-dir", t("b"), "--batch-size", "1", "--run-id", "run-1"], spark)
+    assert {p.name for p in (tmp_path / "b").glob("*.jsonl")} == {f"run-1-batch-{i:04d}.jsonl" for i in range(1, many + 1)}
+    assert {r.request_id for r in spark.read.json(t("b")).collect()} == {f"run-1-{i:06d}" for i in range(1, many + 1)}
+    main(["build-batches", "--input", t("j"), "--output-dir", t("b2"), "--batch-size", "2", "--run-id", "run-1", "--part-files"], spark)
+    assert {r.request_id for r in spark.read.json(t("b2")).collect()} == {f"run-1-{i:06d}" for i in range(1, many + 1)}
     assert main([], spark) == 0
