@@ -354,6 +354,7 @@ class JaccardJoin:
             before, label = label, tables.write(self.relabelled(label, links, tables), "labels")
             tables.drop(before)
             compared = compared.union(new)
+        tables.drop(nodes, groups, links)
         return label
 
     def texts_of(self, wanted: DataFrame, texts: DataFrame) -> DataFrame:
