@@ -125,8 +125,9 @@ def fingerprints_with_edits(docs: DataFrame) -> DataFrame:
     Documents are dealt by ranges of doc_id, and the first document of each range goes to the range before it too, so
     texts are shuffled once and each task sees every pair of neighbours that it needs.
 
-    Defined results: null texts are empty; a null doc_id comes after all others; rows that repeat a doc_id follow one
-    another in order of their texts; the only document of a table is its own neighbour; an empty table gives no rows.
+    Defined results: null texts are empty, and an empty text's fingerprint is the sum of none; texts of any length count whole; a null doc_id
+    comes after all others; rows that repeat a doc_id follow one another in order of the lengths of their texts, then of the texts; equal texts have equal fingerprints;
+    the only document of a table is its own neighbour; an empty table gives no rows; further columns are ignored.
     """
     spark = docs.sparkSession
     bounded_batches(spark)
