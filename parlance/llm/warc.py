@@ -1,9 +1,11 @@
 """WARC files as a PySpark data source (operator 6).
 
-Writing: a task writes one file, one gzip member a record, with the member's compressed and whole lengths in the gzip
+Writing: a task writes files of bounded size, one gzip member a record, with the member's compressed and whole lengths in the gzip
 header's extra field ``sl``. The driver's commit lists the files of successful tasks; other files are not read.
 Reading: a partition is one file. Predicates on record type, ids, target, date and digest are pushed down; a reader inflates
-a record's header only, and skips the payload of a record that is not wanted, or of all records where the payload is not asked for.
+a record's header only, and skips the payload of a record that is not wanted, or of all records where the payload is not asked for. Rows
+go to Spark as Arrow batches. Header names count in any case; a record without a length, or a file that ends inside one, fails the query; an HTTP
+block without a blank line is a payload as a whole.
 """
 
 from __future__ import annotations
@@ -29,6 +31,8 @@ SCHEMA = "record_id string, record_type string, target_uri string, date string,
 FIELDS = {"record_id": "WARC-Record-ID", "record_type": "WARC-Type", "target_uri": "WARC-Target-URI", "date": "WARC-Date", "refers_to": "WARC-Refers-To", "payload_digest": "WARC-Payload-Digest", "payload_bytes": "X-Payload-Length"}
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 LIST = "files.json"
+#: Bytes after which a file ends with the next record; rows and bytes of a batch for Spark.
+FILE_BYTES, ROWS, BYTES = 1 << 30, 500, 1 << 23
 
 
 def opened(root: str) -> tuple[pafs.FileSystem, str]:
@@ -62,38 +66,45 @@ def member(data: bytes, level: int = 1) -> bytes:
 
 @dataclass
 class Written(WriterCommitMessage):
-    file: str
-    records: int
+    files: list[str]
 
 
 class WarcWriter(DataSourceArrowWriter):
-    def __init__(self, root: str):
-        self.root = root
+    def __init__(self, root: str, file_bytes: int = FILE_BYTES):
+        self.root, self.file_bytes = root, file_bytes
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
         fs, base = opened(self.root)
         fs.create_dir(base, recursive=True)
-        name, records = f"part-{uuid.uuid4().hex}.warc.gz", 0
-        with fs.open_output_stream(f"{base}/{name}", compression=None) as sink:
-            for batch in iterator:
-                for lo in range(0, batch.num_rows, 200):
-                    for row in batch.slice(lo, 200).to_pylist():
-                        sink.write(member(record_bytes(row)))
-                        records += 1
-        return Written(name, records)
+        files, sink, size = [], None, 0
+        for batch in iterator:
+            for lo in range(0, batch.num_rows, 200):
+                for row in batch.slice(lo, 200).to_pylist():
+                    if sink is None:
+                        files.append(f"part-{uuid.uuid4().hex}.warc.gz")
+                        sink, size = fs.open_output_stream(f"{base}/{files[-1]}", compression=None), 0
+                    data = member(record_bytes(row))
+                    sink.write(data)
+                    size += len(data)
+                    if size >= self.file_bytes:
+                        sink.close()
+                        sink = None
+        if sink is not None:
+            sink.close()
+        return Written(files)
 
     def commit(self, messages: list) -> None:
         fs, base = opened(self.root)
         fs.create_dir(base, recursive=True)
         listed = json.loads(read_all(fs, f"{base}/{LIST}")) if exists(fs, f"{base}/{LIST}") else []
         with fs.open_output_stream(f"{base}/{LIST}") as sink:
-            sink.write(json.dumps(listed + [m.file for m in messages if m is not None and m.records]).encode())
+            sink.write(json.dumps(listed + [f for m in messages if m is not None for f in m.files]).encode())
 
     def abort(self, messages: list) -> None:
         fs, base = opened(self.root)
         for m in messages:
-            if m is not None:
-                fs.delete_file(f"{base}/{m.file}")
+            for f in m.files if m is not None else []:
+                fs.delete_file(f"{base}/{f}")
 
 
 def exists(fs: pafs.FileSystem, path: str) -> bool:
@@ -168,20 +179,36 @@ def records(f, length: int, zipped: bool, wanted: dict[str, set], payload: bool)
         one = Member(f, at, zipped)
         cut = one.upto(b"\r\n\r\n")
         if cut < 0:
-            return
-        fields = dict(line.split(": ", 1) for line in one.data[:cut].decode().split("\r\n")[1:])
-        body = int(fields["Content-Length"])
-        row = {c: fields.get(name) for c, name in FIELDS.items()}
+            if one.data.strip():
+                raise ValueError(f"a record at {at} ends inside its header")
+            return  # white space after the last record
+        if not one.data[:cut].strip():  # blank lines between records
+            at = one.finish(cut + 4)
+            continue
+        fields = {name.strip().lower(): value.strip() for name, _, value in (line.partition(":") for line in one.data[:cut].decode("utf-8", "replace").strip().split("\r\n")[1:])}
+        if not fields.get("content-length", "").isdigit():
+            raise ValueError(f"a record at {at} has no length")
+        body = int(fields["content-length"])
+        row = {c: fields.get(name.lower()) for c, name in FIELDS.items()}
         row["payload_bytes"] = int(row["payload_bytes"]) if row["payload_bytes"] is not None else None
         if all(row[c] in some for c, some in wanted.items()):
             content = None
             if payload and row["record_type"] != "revisit":
                 block = one.take(cut + 4 + body)[cut + 4 :]
-                content = block.split(b"\r\n\r\n", 1)[1] if "application/http" in fields.get("Content-Type", "") else block
+                if len(block) < body:
+                    raise ValueError(f"a record at {at} ends inside its block")
+                head, blank, rest = block.partition(b"\r\n\r\n")
+                content = rest if blank and "application/http" in fields.get("content-type", "") else block
             yield (*row.values(), content)
         at = one.finish(cut + 4 + body + 4)
 
 
+def row_batch(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = {"string": pa.string(), "bigint": pa.int64(), "binary": pa.binary()}
+    columns = [x.split() for x in SCHEMA.split(", ")]
+    return pa.RecordBatch.from_arrays([pa.array(c, kinds[kind]) for c, (_, kind) in zip(zip(*rows, strict=True), columns, strict=True)], [name for name, _ in columns])
+
+
 class WarcReader(DataSourceReader):
     def __init__(self, root: str, payload: bool):
         self.root, self.payload = root, payload
@@ -205,17 +232,25 @@ class WarcReader(DataSourceReader):
             names = sorted(x.base_name for x in fs.get_file_info(pafs.FileSelector(base, recursive=False)) if x.base_name.endswith((".warc", ".warc.gz")))
         return [FilePartition(n) for n in names]
 
-    def read(self, partition: FilePartition | None) -> Iterator[tuple]:
+    def read(self, partition: FilePartition | None) -> Iterator[pa.RecordBatch]:
         if partition is None:
             return
         fs, base = opened(self.root)
         path = f"{base}/{partition.file}".rstrip("/")
         with fs.open_input_file(path) as f:
-            yield from records(f, f.size(), path.endswith(".gz"), self.wanted, self.payload)
+            held, size = [], 0
+            for row in records(f, f.size(), path.endswith(".gz"), self.wanted, self.payload):
+                held.append(row)
+                size += len(row[-1] or b"")
+                if len(held) >= ROWS or size >= BYTES:
+                    yield row_batch(held)
+                    held, size = [], 0
+            if held:
+                yield row_batch(held)
 
 
 class WarcSource(DataSource):
-    """Format ``warc``; options: path, payload (``false`` leaves payloads unread)."""
+    """Format ``warc``; options: path, payload (``false`` leaves payloads unread), fileBytes (after which a file ends)."""
 
     @classmethod
     def name(cls) -> str:
@@ -228,7 +263,7 @@ class WarcSource(DataSource):
         return WarcReader(self.options["path"], self.options.get("payload", "true") != "false")
 
     def writer(self, schema, overwrite: bool) -> WarcWriter:
-        return WarcWriter(self.options["path"])
+        return WarcWriter(self.options["path"], int(self.options.get("fileBytes", FILE_BYTES)))
 
 
 def register(spark: SparkSession) -> None:
@@ -252,7 +287,7 @@ def base32_column(digest):
 
 
 def page_records(pages: DataFrame, least: int = 0) -> DataFrame:
-    """A record for each page. Of pages with equal payloads of at least ``least`` bytes that of the smallest page_id is a
+    """A record for each page, of any length. Of pages with equal payloads of at least ``least`` bytes that of the smallest page_id is a
     response and the others are revisits of it; all smaller ones are responses.
 
     Defined results: a null html is an empty payload; a null url gives no target; rows that repeat a page_id and its html
