@@ -5,7 +5,8 @@ to be taken; rates are nonnegative and their expected token totals by domain are
 accelerated projected gradient from rates of 1: least squares of the totals' errors, weighted by the inverse of the domains' matrix of
 joint totals, in the metric of token counts, where all curvatures are about 1 and a step of 1 is right. A
 rate's path depends on its own posterior and on the few residual vectors so far, so a turn is one pass that returns one total
-a domain, and no rates are stored or gathered.
+a domain, and no rates are stored or gathered. Turns go on until the totals are within ``TOLERANCE`` of the targets or come no nearer;
+what is left is reported with the rates as ``residual``.
 """
 
 from __future__ import annotations
@@ -18,10 +19,12 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parlance.llm.common import Tables, bounded_batches
+from parlance.llm.common import Tables, bounded_batches, tidy
 
-#: Labelled rows that the classifier is fitted on, at most, in the order of a hash of doc_id; hashed words; turns.
-MAX_ROWS, WORDS, TURNS, TOLERANCE = 4000, 4096, 30, 1e-3
+#: Labelled rows that the classifier is fitted on, at most, in the order of a hash of doc_id; its hashed words, so its weights are of one size.
+MAX_ROWS, WORDS = 4000, 4096
+#: Largest miss of a domain's total, as a share of all tokens, that counts as met; turns without a miss smaller by a hundredth that end the fit.
+TOLERANCE, PATIENCE = 1e-3, 12
 #: Domains of the labelled table and the shares of tokens that the query asks for.
 TARGETS = {"en": 0.50, "de": 0.20, "fr": 0.15, "es": 0.10, "poor": 0.05}
 STATS = 8
@@ -53,26 +56,25 @@ def features(text: str, buckets: Buckets) -> tuple[np.ndarray, np.ndarray, int]:
 
 
 def fit_softmax(rows: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, classes: int, steps: int = 250, shrink: float = 1e-4) -> np.ndarray:
-    """Weights (features, classes) by accelerated gradient steps."""
-    at, value = (np.concatenate([r[i] for r in rows]) for i in (0, 1))
-    of = np.repeat(np.arange(len(rows)), [len(r[0]) for r in rows])
-    truth = np.eye(classes)[y]
-    size = STATS + WORDS
-    w = v = np.zeros((size, classes))
-    rate = 2.0 / max((r[1] ** 2).sum() for r in rows)
+    """Weights (features, classes) by accelerated gradient steps, on a dense matrix: rows and features are bounded."""
+    x = np.zeros((len(rows), STATS + WORDS), np.float32)
+    for of, (at, value) in enumerate(rows):
+        x[of, at] = value
+    truth = np.eye(classes, dtype=np.float32)[y]
+    w = v = np.zeros((x.shape[1], classes), np.float32)
+    rate = np.float32(2.0 / max((r[1] ** 2).sum() for r in rows))
     for t in range(1, steps + 1):
-        z = np.stack([np.bincount(of, value * v[at, k], len(rows)) for k in range(classes)], 1)
+        z = x @ v
         z = np.exp(z - z.max(1, keepdims=True))
-        g = z / z.sum(1, keepdims=True) - truth
-        grad = np.stack([np.bincount(at, value * g[of, k], size) for k in range(classes)], 1) / len(rows) + shrink * v
-        new = v - rate * grad
-        v = new + (t - 1) / (t + 2) * (new - w)
+        grad = x.T @ (z / z.sum(1, keepdims=True) - truth) / len(rows) + shrink * v
+        new = (v - rate * grad).astype(np.float32)
+        v = new + np.float32((t - 1) / (t + 2)) * (new - w)
         w = new
-    return w
+    return w.astype(np.float64)
 
 
 def train(docs: DataFrame, labelled: DataFrame, domains: list[str], max_rows: int = MAX_ROWS) -> np.ndarray:
-    """``labelled``: doc_id, domain. Without a labelled row posteriors are uniform."""
+    """``labelled``: doc_id, domain. Without a labelled row posteriors are uniform; of rows that repeat a doc_id the least domain and text count."""
     tables = Tables(docs.sparkSession)
     rows = labelled.select(F.col("doc_id").cast("bigint").alias("doc_id"), "domain").where("doc_id is not null").where(F.col("domain").isin(domains))
     rows = rows.groupBy("doc_id").agg(F.min("domain").alias("domain")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
@@ -84,12 +86,16 @@ def train(docs: DataFrame, labelled: DataFrame, domains: list[str], max_rows: in
             got = [features(t or "", buckets)[:2] for t in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(1), pa.array([g[0].astype(np.int32) for g in got], pa.list_(pa.int32())), pa.array([g[1].astype(np.float32) for g in got], pa.list_(pa.float32()))], ["domain", "at", "value"])
 
-    got = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")).join(rows, "doc_id").select("text", "domain").mapInArrow(sparse, "domain string, at array<int>, value array<float>").toPandas()
+    bounded_batches(docs.sparkSession)
+    text = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(rows), "doc_id")  # at most max_rows
+    text = text.groupBy("doc_id", "domain").agg(F.min("text").alias("text")).select("text", "domain")
+    got = text.mapInArrow(sparse, "domain string, at array<int>, value array<float>").toPandas()
     if not len(got):
         return np.zeros((STATS + WORDS, len(domains)))
     return fit_softmax([(np.asarray(a, np.int64), np.asarray(v, np.float64)) for a, v in zip(got["at"], got["value"], strict=True)], np.array([domains.index(d) for d in got["domain"]]), len(domains))
 
 
+@tidy
 def member_batches(batches: Iterator[pa.RecordBatch], weights: np.ndarray) -> Iterator[pa.RecordBatch]:
     buckets = Buckets()
     for batch in batches:
@@ -120,8 +126,8 @@ def posteriors(batch: pa.RecordBatch, name: str) -> np.ndarray:
     return values.reshape(batch.num_rows, -1)
 
 
-def fit_rates(members: DataFrame, shares: np.ndarray, turns: int = TURNS, tolerance: float = TOLERANCE) -> list[tuple[np.ndarray, float]]:
-    """The steps that take all rates from 1 to their fitted values."""
+def fit_rates(members: DataFrame, shares: np.ndarray, tolerance: float = TOLERANCE, patience: int = PATIENCE) -> tuple[list[tuple[np.ndarray, float]], float]:
+    """The steps that take all rates from 1 to their fitted values, and the residual that they leave."""
     k = len(shares)
 
     def summed(of_batch, size: int) -> np.ndarray:
@@ -147,23 +153,28 @@ def fit_rates(members: DataFrame, shares: np.ndarray, turns: int = TURNS, tolera
     start = totals(steps)[0]
     whole = start.sum()
     if not whole:
-        return steps
+        return steps, 0.0
     goal = shares / shares.sum() * whole
     metric = np.linalg.inv(summed(lambda p, t: (p.T * t) @ p, k * k).reshape(k, k) + 1e-3 * whole * np.eye(k))
-    for turn in range(1, turns + 1):
+    best, best_turn, least, turn = 0, 0, np.inf, 0
+    while True:
+        turn += 1
         now, ahead = totals(steps)
-        if np.abs(now - goal).max() <= tolerance * whole:
-            break
+        residual = float(np.abs(now - goal).max() / whole)
+        if residual < 0.99 * least:
+            best, best_turn, least = len(steps), turn, residual
+        if least <= tolerance or turn - best_turn >= patience:
+            return steps[:best], least
         steps.append((metric @ (ahead - goal), (turn - 1) / (turn + 2)))
-    return steps
 
 
 def mixed(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] = TARGETS, keep: list[str] = ()) -> DataFrame:
-    """doc_id, n_tokens, posterior (in the order of sorted domains) and rate of each row; ``keep`` names columns to hold on to in ``row``.
+    """doc_id, n_tokens, posterior (in the order of sorted domains), rate and residual of each row; ``keep`` names columns to hold on to in ``row``.
 
-    Defined results: null and empty texts have no tokens, hence no weight, but a posterior and a rate; a domain that no document
-    belongs to stays short of its target; rows that repeat are rows of their own; a null doc_id is kept; an empty table gives no
-    rows; further columns are ignored.
+    ``residual``, the same in all rows, is the largest miss of a domain's expected total as a share of all tokens. Defined results: null and empty
+    texts have no tokens, hence no weight, but a posterior and a rate; texts of any length count whole; a domain that no document
+    belongs to stays short of its target, which the residual tells; equal texts have equal rates; rows that repeat are rows of their own; a null doc_id is kept; an
+    empty table gives no rows; further columns are ignored.
     """
     spark = docs.sparkSession
     bounded_batches(spark)
@@ -174,14 +185,14 @@ def mixed(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] = TARG
     kind = rows.schema["row"].dataType.simpleString()
     members = rows.mapInArrow(lambda it: member_batches(it, weights.value), f"doc_id bigint, row {kind}, n_tokens bigint, posterior array<double>")
     members = Tables(spark).write(members, "members")
-    steps = fit_rates(members, np.array([targets[d] for d in domains]))
+    steps, residual = fit_rates(members, np.array([targets[d] for d in domains]))
 
     def rated(batches):
         for batch in batches:
             if batch.num_rows:
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(rates(posteriors(batch, "posterior"), steps))], [*batch.schema.names, "rate"])
 
-    return members.mapInArrow(rated, f"doc_id bigint, row {kind}, n_tokens bigint, posterior array<double>, rate double")
+    return members.mapInArrow(rated, f"doc_id bigint, row {kind}, n_tokens bigint, posterior array<double>, rate double").withColumn("residual", F.lit(residual))
 
 
 def copies(rate, doc_id):
@@ -200,4 +211,4 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents; domains are languages and poor quality."""
     docs, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
     out = mixed(docs, label_domains(docs, labels))
-    return out.select("doc_id", "n_tokens", *[F.get("posterior", F.lit(i)).alias(f"p_{d}") for i, d in enumerate(sorted(TARGETS))], "rate")
+    return out.select("doc_id", "n_tokens", *[F.get("posterior", F.lit(i)).alias(f"p_{d}") for i, d in enumerate(sorted(TARGETS))], "rate", "residual")
