@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
+import sys
 import tempfile
 import uuid
 from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import contextmanager, suppress
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
@@ -74,7 +77,7 @@ class Tables:
                 delete_path(self.spark, found[1])
 
 
-def bounded_batches(spark: SparkSession, rows: int = 2000) -> None:
+def bounded_batches(spark: SparkSession, rows: int = 1000) -> None:
     """From now on a Python worker of the session gets at most so many rows at once: whole texts can be long."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
@@ -83,6 +86,32 @@ def spread(spark: SparkSession, times: int = 1) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) * times)
 
 
+def release() -> None:
+    """Gives memory that is no longer used back to the system: a Python worker outlives its tasks, and both allocators keep what they had at most."""
+    pa.default_memory_pool().release_unused()
+    with suppress(OSError, AttributeError):
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
+#: Name under which a worker keeps what its next task of the same operator can use.
+KEPT = "_parlance_kept"
+
+
+def tidy(make, keep: bool = False):
+    """A generator of batches that releases memory when it ends, and unless it is to ``keep`` it what the worker kept for another operator when it begins."""
+
+    @wraps(make)
+    def run(*args, **options):
+        if not keep:
+            sys.modules.pop(KEPT, None)
+        try:
+            yield from make(*args, **options)
+        finally:
+            release()
+
+    return run
+
+
 class WordHashes(dict):
     """64-bit hashes of words as bytes; keeps those of the first ``room`` words it meets."""
 

@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parlance.llm.common import _GOLDEN, Tables, WordHashes, bounded_batches, column_bytes, mix64, spread, word_hashes
+from parlance.llm.common import _GOLDEN, Tables, WordHashes, bounded_batches, column_bytes, mix64, spread, tidy, word_hashes
 
 #: Weight of the bigram estimate; count added to each word.
 MIX, ADD = 0.7, 0.1
@@ -73,6 +73,7 @@ def document_hashes(raws: list[bytes | None], cache: WordHashes) -> tuple[np.nda
     return np.concatenate([word_hashes(w, cache) for w in words]) if len(words) else np.empty(0, np.uint64), sizes
 
 
+@tidy
 def block_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Documents (doc_id, text, good) to blocks: words are places in the block's sorted vocabulary of hashes."""
     cache, place = WordHashes(), TaskContext.get().partitionId() << 32
@@ -122,6 +123,7 @@ class Block:
         self.grams = grams[self.order]
 
 
+@tidy
 def cell_batches(batches: Iterator[pa.RecordBatch], cells: int) -> Iterator[pa.RecordBatch]:
     edges = np.array([-(-(c << 64) // cells) for c in range(1, cells)], np.uint64)
     for batch in batches:
@@ -136,6 +138,7 @@ def cell_batches(batches: Iterator[pa.RecordBatch], cells: int) -> Iterator[pa.R
                 yield pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in zip(zip(*out, strict=True), (pa.int32(), pa.int64(), *[pa.binary()] * 4), strict=True)], names(CELLS))
 
 
+@tidy
 def sum_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows of CELLS, sorted by cell, to what each block's counts lack to the sums of all blocks; a cell's first row has its number of words."""
 
@@ -168,6 +171,7 @@ def sum_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from summed(held)
 
 
+@tidy
 def score_batches(batches: Iterator[pa.RecordBatch], vocabulary: int, totals: list[int]) -> Iterator[pa.RecordBatch]:
     """Scores of the documents of blocks, each of which comes after its counts. ``totals``: tokens, target tokens, documents with tokens, target documents with tokens."""
     held: list[dict] = []

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parlance.llm.common import WordHashes, bounded_batches, fold, mix64, spread, word_hashes
+from parlance.llm.common import WordHashes, bounded_batches, fold, mix64, spread, tidy, word_hashes
 
 EXACT, SKETCH, K = 32, 256, 3
 RESULT = "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
@@ -92,6 +92,7 @@ def decoded(text: str) -> np.ndarray:
     return np.frombuffer(base64.b64decode(text), "<u2")
 
 
+@tidy
 def neighbour_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Runs of (part, copy, doc_id, text) in order, each ending in a copy of the document that follows, to RESULT."""
     cache = WordHashes()

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parlance.llm.common import Tables, WordHashes, bounded_batches, column_bytes, components, shingles
+from parlance.llm.common import Tables, WordHashes, bounded_batches, column_bytes, components, shingles, tidy
 
 #: Bits of the smallest bitmap; a larger set has the next power of two of twice its size.
 BITS = 1024
@@ -42,7 +42,7 @@ BLOCK, FAN = 2048, 8
 #: Members from which a node is first covered by a few pairs.
 COVERED = 32
 #: Rows, and bytes of them, whose trees a task visits at once; pairs that a step of a traversal makes.
-ROWS, BYTES, PAIRS = 8192, 1 << 26, 1 << 19
+ROWS, BYTES, PAIRS = 4096, 1 << 25, 1 << 18
 #: Classes whose texts are looked up by a broadcast: 64 bytes each at most; more by a shuffle.
 MAX_SENT = 1 << 18
 FEATURES = "doc_id bigint, n bigint, p int, set_hash binary, tokens array<bigint>, bits binary"
@@ -69,6 +69,7 @@ def bitmap(s: np.ndarray) -> bytes:
     return np.packbits(bits).tobytes()
 
 
+@tidy
 def feature_batches(batches: Iterator[pa.RecordBatch], k: int, percent: int, hot=None) -> Iterator[pa.RecordBatch]:
     cache = WordHashes()
     hot = hot.value if hot is not None else None
@@ -88,6 +89,7 @@ def feature_batches(batches: Iterator[pa.RecordBatch], k: int, percent: int, hot
             yield pa.RecordBatch.from_arrays([pa.array(rows[0], pa.int64()), pa.array(rows[1], pa.int64()), pa.array(rows[2], pa.int32()), pa.array(rows[3], pa.binary()), tokens, pa.array(rows[5], pa.binary())], ["doc_id", "n", "p", "set_hash", "tokens", "bits"])
 
 
+@tidy
 def reordered(batches: Iterator[pa.RecordBatch], hot) -> Iterator[pa.RecordBatch]:
     """(id, n, p, tokens) to the first p tokens of the order with hot tokens last; null where the tokens kept do not tell."""
     for batch in batches:
@@ -109,6 +111,7 @@ def prefix_batches(batches: Iterator[pa.RecordBatch], percent: int, hot) -> Iter
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(out, pa.list_(pa.int64()))], ["id", "n", "tokens"])
 
 
+@tidy
 def set_batches(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
     """(id, set_hash, text) to the whole sets (id, set) of the texts that have that hash: rows that repeat a doc_id may have others."""
     cache = WordHashes()
@@ -155,6 +158,7 @@ class Forest:
             tree = tree[cut]
 
 
+@tidy
 def sieve(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     """Pairs (a, b, n_a, n_b, bits_a, bits_b) that their bitmaps do not rule out."""
     for batch in batches:
@@ -221,6 +225,7 @@ def covering(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return tuple(np.concatenate(out, 1)) if out else (x, y)
 
 
+@tidy
 def candidate_batches(batches: Iterator[pa.RecordBatch], percent: int, few: bool) -> Iterator[pa.RecordBatch]:
     """Sorted rows (head, band, i, j, block, own, id, component, n, bits) to pairs (a, b) of two components that no node rules out; of a node's pairs all, or a few that cover its members."""
 
@@ -358,16 +363,14 @@ class JaccardJoin:
         return label
 
     def texts_of(self, wanted: DataFrame, texts: DataFrame) -> DataFrame:
-        """(id, set) of the classes ``wanted`` (id, doc_id, set_hash)."""
-        k = self.k
+        """(id, set_hash, text) of the classes ``wanted`` (id, doc_id, set_hash), of all rows that have their doc_id."""
         wanted = wanted.withColumnRenamed("doc_id", "of")
         wanted = F.broadcast(wanted) if wanted.count() <= MAX_SENT else wanted
-        found = texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("of"))).select("id", "set_hash", "text")
-        return found.mapInArrow(lambda it: set_batches(it, k), "id bigint, set array<bigint>")
+        return texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("of"))).select("id", "set_hash", "text")
 
     def shared(self, first: DataFrame, classes: DataFrame, texts: DataFrame, tables: Tables) -> DataFrame:
         """(token, id, n, at) of the tokens at the beginning of the order that some other class has there too."""
-        spark, percent = first.sparkSession, self.percent
+        spark, k, percent = first.sparkSession, self.k, self.percent
         schema = "id bigint, n bigint, tokens array<bigint>"
         prefix = first.select("id", "n", F.slice("tokens", F.lit(1), F.col("p")).alias("tokens"))
         hot = prefix.select(F.explode("tokens").alias("token")).groupBy("token").count().where(F.col("count") >= self.hot_count).orderBy(F.desc("count"), "token").limit(HOT_TOKENS)
@@ -377,7 +380,7 @@ class JaccardJoin:
             again = tables.write(first.select("id", "n", "p", "tokens").mapInArrow(lambda it: reordered(it, sent), schema), "prefixes")
             tables.drop(first)
             wanted = tables.write(again.where("tokens is null").select("id").join(classes, "id"), "wanted")
-            whole = self.texts_of(wanted, texts).mapInArrow(lambda it: prefix_batches(it, percent, sent), schema).dropDuplicates(["id"])
+            whole = self.texts_of(wanted, texts).mapInArrow(lambda it: prefix_batches(set_batches(it, k), percent, sent), schema).dropDuplicates(["id"])
             first, prefix = again, again.where("tokens is not null").union(whole)
         tokens = tables.write(prefix.select("id", "n", F.posexplode("tokens").alias("at", "token")), "tokens")
         tables.drop(first)
@@ -403,7 +406,8 @@ class JaccardJoin:
     def verified(self, pairs: DataFrame, classes: DataFrame, texts: DataFrame, tables: Tables) -> DataFrame:
         """The pairs whose whole sets reach the similarity."""
         wanted = tables.write(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct().join(classes, "id"), "wanted")
-        sets = tables.write(self.texts_of(wanted, texts), "sets")
+        k = self.k
+        sets = tables.write(self.texts_of(wanted, texts).mapInArrow(lambda it: set_batches(it, k), "id bigint, set array<bigint>"), "sets")
         side = lambda s: sets.select(F.col("id").alias(s), F.col("set").alias(f"set_{s}"))
         both = F.size(F.array_intersect("set_a", "set_b"))
         out = pairs.join(side("a"), "a").join(side("b"), "b").where(100 * both >= self.percent * (F.size("set_a") + F.size("set_b") - both)).select("a", "b")

@@ -19,6 +19,7 @@ import types
 import uuid
 import zlib
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +28,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from parlance.llm.common import bounded_batches, new_path, spread
+from parlance.llm.common import KEPT, bounded_batches, new_path, release, spread, tidy
 
 LENGTH = 2048
 #: Sequences in a record batch; tokens after which a file ends with the next document.
@@ -50,7 +51,7 @@ class Encoder:
     texts once a token is met that crosses such a boundary. ``words`` bounds the memory.
     """
 
-    def __init__(self, path: str, words: int = 800_000):
+    def __init__(self, path: str, words: int = 400_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -140,7 +141,7 @@ class Encoder:
 
 def encoder_of(path: str) -> Encoder:
     """This process's encoder: a worker that runs several tasks loads the tokenizer and learns common words once."""
-    home = sys.modules.setdefault("_parlance_encoders", types.ModuleType("_parlance_encoders")).__dict__
+    home = sys.modules.setdefault(KEPT, types.ModuleType(KEPT)).__dict__
     if path not in home:
         home[path] = Encoder(path)
     return home[path]
@@ -221,6 +222,7 @@ class FileWriter:
         return pa.RecordBatch.from_arrays([pa.array([self.name]), pa.array([self.low], pa.int64()), pa.array([self.docs], pa.int64()), pa.array([self.ids.tokens], pa.int64())], ["file", "low", "docs", "tokens"])
 
 
+@partial(tidy, keep=True)
 def write_batches(batches: Iterator[pa.RecordBatch], root: str, tokenizer: str, end: int | None, length: int, tokens: int) -> Iterator[pa.RecordBatch]:
     encoder, out, made, task = None, None, 0, uuid.uuid4().hex
     for batch in batches:
@@ -234,6 +236,7 @@ def write_batches(batches: Iterator[pa.RecordBatch], root: str, tokenizer: str,
                 if out.ids.tokens >= tokens:
                     yield out.close()
                     out, made = None, made + 1
+        release()
     if out is not None:
         yield out.close()
 
@@ -280,6 +283,7 @@ class SequenceFile:
         return batch.column("input_ids").flatten().to_numpy(), int(batch.column("mask").flatten().true_count)
 
 
+@tidy
 def read_batches(batches: Iterator[pa.RecordBatch], root: str) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for name, before in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
