@@ -51,7 +51,7 @@ class Encoder:
     texts once a token is met that crosses such a boundary. ``words`` bounds the memory.
     """
 
-    def __init__(self, path: str, words: int = 400_000):
+    def __init__(self, path: str, words: int = 800_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -310,7 +310,7 @@ def write_tokens(docs: DataFrame, root: str, tokenizer: str, end: int | None = N
     ignored; an empty table writes no file. ``end`` is appended to each document.
     """
     spark = docs.sparkSession
-    bounded_batches(spark)
+    bounded_batches(spark, 2000)
     opened(root)[0].create_dir(opened(root)[1], recursive=True)
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     rows = rows.repartitionByRange(ranges or spread(spark), "doc_id").sortWithinPartitions("doc_id", F.length("text"), "text")
