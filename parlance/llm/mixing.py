@@ -35,7 +35,7 @@ class Buckets(dict):
 
     def __missing__(self, word: str) -> int:
         b = STATS + xxhash.xxh3_64_intdigest(word) % WORDS
-        if len(self) < 200_000:
+        if len(self) < 100_000:
             self[word] = b
         return b
 
@@ -138,13 +138,10 @@ def fit_rates(members: DataFrame, shares: np.ndarray, tolerance: float = TOLERAN
             for batch in batches:
                 if batch.num_rows:
                     out += of_batch(posteriors(batch, "posterior"), batch.column("n_tokens").to_numpy().astype(float)).ravel()
-            yield pa.RecordBatch.from_arrays([pa.array(out), pa.array(np.arange(size))], ["total", "at"])
+            yield pa.RecordBatch.from_arrays([pa.array([out], pa.list_(pa.float64()))], ["total"])
 
-        found = members.select("n_tokens", "posterior").mapInArrow(add, "total double, at bigint").groupBy("at").agg(F.sum("total").alias("total")).collect()
-        out = np.zeros(size)
-        for r in found:
-            out[r["at"]] = r["total"]
-        return out
+        found = members.select("n_tokens", "posterior").mapInArrow(add, "total array<double>")  # a row a task
+        return np.array([x or 0.0 for x in found.agg(*[F.sum(F.col("total")[i]) for i in range(size)]).first()])
 
     def totals(steps):
         return summed(lambda p, t: np.stack([(t * rates(p, steps, ahead)) @ p for ahead in (False, True)]), 2 * k).reshape(2, k)
