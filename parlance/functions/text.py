@@ -90,9 +90,8 @@ def tags(c, lexicon) -> Column:
 
 def canonical(c) -> Column:
     """The form under which near-verbatim repeats are equal."""
-    out = F.regexp_replace(col(c), L.BRACKET_TAG, "")
-    # All else goes character by character, so one class of all of them does.
-    return F.regexp_replace(out, f"[{L.EMOJI[1:-2]}{L.PUNCTUATION[1:-1]}{L.WS[1:-1]}]+", "")
+    out = F.when(F.contains(col(c), F.lit("[")), F.regexp_replace(col(c), L.BRACKET_TAG, "")).otherwise(col(c))
+    return F.translate(out, L.REMOVED, "")
 
 
 def key(c) -> Column:
