@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parlance.functions import lexicons as L
@@ -97,3 +97,8 @@ def canonical(c) -> Column:
 def key(c) -> Column:
     """32 bytes that stand for a text: texts are told apart, grouped and joined by them, and need not be moved."""
     return F.unhex(F.sha2(col(c), 256))
+
+
+def key_of(rows: DataFrame, name: str) -> Column:
+    """The key of a text column, null for '': its column ``key_<name>`` where the rows have it, so that the text need not be read."""
+    return F.col(f"key_{name}") if f"key_{name}" in rows.columns else F.when(F.col(name) != "", key(name))

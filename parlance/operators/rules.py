@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from parlance.functions import lexicons as L
@@ -27,10 +27,21 @@ def first_by_id(rows: DataFrame) -> DataFrame:
     return rows.where("comment_id <> ''").withColumn("rn", F.row_number().over(Window.partitionBy("comment_id").orderBy("ordinal"))).where("rn = 1").drop("rn")
 
 
+#: Columns of the text alone that no rule reads.
+LATE = ("token_len", "is_mobilization", "rule_risk_tags", "canonical_template_group")
+
+
+def of_text(rules: Rules, *names: str) -> dict[str, Column]:
+    """The columns, or those named, that are made of the clean text."""
+    c = F.col("comment_text_clean")
+    every = {"char_len": T.char_len(c), "token_len": T.token_len(c), "is_empty_text": c == "", "is_only_emoji_or_punct": T.only_symbols(c), "is_mobilization": T.contains_any(c, rules.mobilization), "rule_topic_tags": T.tags(c, rules.topics), "rule_risk_tags": T.tags(c, rules.risks), "canonical_template_group": T.canonical(c)}
+    return {k: v for k, v in every.items() if k in names or not names}
+
+
 def features(rows: DataFrame, rules: Rules = Rules()) -> DataFrame:  # noqa: B008
     """Adds what depends on a row's clean text alone."""
     c = F.col("comment_text_clean")
-    out = rows.withColumns({"char_len": T.char_len(c), "token_len": T.token_len(c), "is_empty_text": c == "", "is_only_emoji_or_punct": T.only_symbols(c), "is_mobilization": T.contains_any(c, rules.mobilization), "rule_topic_tags": T.tags(c, rules.topics), "rule_risk_tags": T.tags(c, rules.risks), "canonical_template_group": T.canonical(c)})
+    out = rows.withColumns(of_text(rules))
     low = (c == "") | c.isin(*rules.low_info) | F.col("is_only_emoji_or_punct") | ((F.col("char_len") <= L.LOW_INFO_LENGTH) & (F.size("rule_topic_tags") == 0))
     return out.withColumns({"is_short_text": F.col("char_len") <= L.SHORT, "is_low_info": low})
 
@@ -42,20 +53,26 @@ def flagged(slim: DataFrame, key: str, name: str) -> DataFrame:
 
 
 def apply_rules(rows: DataFrame, rules: Rules = Rules()) -> DataFrame:  # noqa: B008
-    """All rule columns; ``ordinal`` tells rows apart. The priority sees verbatim repeats only; near-verbatim groups then override the repeat columns.
+    """All rule columns and the keys of the group columns; ``ordinal`` tells rows apart. The priority sees verbatim repeats only; near-verbatim groups then
+    override the repeat columns.
 
-    Features are computed once and written; repeats are counted on rows of an ordinal and two keys, never on texts.
+    What the rules read is computed once and written, with one text a row; repeats are counted on rows of an ordinal and two keys, never on texts. What no
+    rule reads is left to the reader who selects it, a group's text is made for repeats alone.
     """
-    base = written(features(rows, rules))
-    key = lambda c: F.when(F.col(c) != "", T.key(c)).alias(f"key_{c}")
-    slim = written(base.select("ordinal", key("comment_text_clean"), key("canonical_template_group")))
-    slim = flagged(flagged(slim, "key_comment_text_clean", "exact"), "key_canonical_template_group", "near")
+    made = features(rows, rules)
+    late = of_text(rules, *LATE)
+    keys = {f"key_{c}": F.when(F.col(c) != "", T.key(c)) for c in ("comment_text_clean", "canonical_template_group")}
+    base = written(made.withColumns(keys).drop(*LATE))
+    slim = flagged(flagged(base.select("ordinal", *keys), "key_comment_text_clean", "exact"), "key_canonical_template_group", "near")
     repeats = written(slim.where("exact or near").select(F.col("ordinal").alias("of"), "exact", "near"))
     out = base.join(sent(repeats), F.col("ordinal") == F.col("of"), "left").withColumns({c: F.coalesce(c, F.lit(False)) for c in ("exact", "near")}).drop("of")
     high = (F.col("like_count") >= L.HIGH_LIKES) | (F.col("reply_count") >= L.HIGH_REPLIES) | F.col("exact") | (F.col("char_len") >= L.LONG) | (F.size("rule_topic_tags") > 0)
-    out = out.withColumns({
+    group = lambda near, exact, none: F.when(F.col("near"), near).when(F.col("exact"), exact).otherwise(none)
+    out = out.withColumns(late | {
         "analysis_priority": F.when(F.col("is_low_info"), "low").when(high, "high").otherwise("medium"),
         "is_template_text": F.col("exact") | F.col("near"),
-        "template_group": F.when(F.col("near"), F.col("canonical_template_group")).when(F.col("exact"), F.col("comment_text_clean")).otherwise(""),
+        "template_group": group(late["canonical_template_group"], F.col("comment_text_clean"), F.lit("")),
+        "key_template_group": group(F.col("key_canonical_template_group"), F.col("key_comment_text_clean"), F.lit(None)),
     })
-    return out.drop("exact", "near")
+    names = dict.fromkeys([*made.columns, "analysis_priority", "is_template_text", "template_group", "key_template_group", "key_canonical_template_group"])
+    return out.select(*names)
