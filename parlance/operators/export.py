@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from parlance.functions import text as T
@@ -19,15 +19,20 @@ def representatives(rows: DataFrame) -> DataFrame:
     A group is reduced to one ordinal by partial aggregates of a few numbers under the key of its canonical text, so a group of any size stays out of a
     single task and no text is moved; chosen ordinals are then joined back.
     """
-    slim = rows.select("ordinal", "like_count", "char_len", F.when(F.col("canonical_template_group") != "", T.key("canonical_template_group")).alias("key"))
+    slim = rows.select("ordinal", "like_count", "char_len", T.key_of(rows, "canonical_template_group").alias("key"))
     best = F.max(F.struct("like_count", "char_len", (-F.col("ordinal")).alias("last"))).alias("best")
     grouped = slim.where("key is not null").groupBy("key").agg(best, F.min("ordinal").alias("group_ordinal")).select((-F.col("best.last")).alias("chosen"), "group_ordinal")
     chosen = written(grouped.union(slim.where("key is null").select("ordinal", "ordinal")))
     return rows.join(sent(chosen), F.col("ordinal") == F.col("chosen")).drop("chosen")
 
 
+def alone(rows: DataFrame) -> Column:
+    """Whether a row is of no group."""
+    return T.key_of(rows, "canonical_template_group").isNull()
+
+
 def in_order(rows: DataFrame) -> DataFrame:
-    return rows.orderBy(F.col("canonical_template_group") == "", "group_ordinal", "ordinal")
+    return rows.orderBy(alone(rows), "group_ordinal", "ordinal")
 
 
 def requests(rows: DataFrame) -> DataFrame:

@@ -224,7 +224,7 @@ def export_representatives(spark, sf):
 @query(f"{CHOSEN} select comment_id, row_number() over (order by canonical = '', group_ordinal, ordinal) as rn from x")
 def export_order(spark, sf):
     rows = E.representatives(E.eligible(ruled(spark, sf)))
-    return E.numbered(rows.select("comment_id", "group_ordinal", "ordinal", (F.col("canonical_template_group") == "").alias("alone")), "alone", "group_ordinal", "ordinal").select("comment_id", F.col("rn").cast("bigint").alias("rn"))
+    return E.numbered(rows.select("comment_id", "group_ordinal", "ordinal", E.alone(rows).alias("alone")), "alone", "group_ordinal", "ordinal").select("comment_id", F.col("rn").cast("bigint").alias("rn"))
 
 
 @query("select o_orderkey, 'run-batch-' || lpad(cast((rn - 1) // 5000 + 1 as varchar), 4, '0') as batch_id, 'run-' || lpad(cast(rn as varchar), cast(greatest(6, length(cast(rn as varchar))) as int), '0') as request_id from (select o_orderkey, row_number() over (order by o_orderkey) as rn from orders)")
@@ -465,7 +465,8 @@ def crosstab_event_day(spark, sf):
 
 @query(f"{RULED} select priority as value, count(distinct coalesce(nullif(template_group, ''), comment_id)) as template_deduplicated_count, cast(sum(like_count) as bigint) as like_weighted_count from r group by 1")
 def deduplicated_counts(spark, sf):
-    return ruled(spark, sf).groupBy(F.col("analysis_priority").alias("value")).agg(A.deduplicated_count(), F.sum("like_count").alias("like_weighted_count"))
+    rows = ruled(spark, sf)
+    return rows.groupBy(F.col("analysis_priority").alias("value")).agg(A.deduplicated_count(rows), F.sum("like_count").alias("like_weighted_count"))
 
 
 @query(f"{RULED} select md5(template_group) as template_md5, {SUMS} from r where template_group <> '' group by template_group order by comment_count desc, template_group limit 20")
