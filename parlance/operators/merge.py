@@ -33,23 +33,22 @@ def typed_labels(lines: DataFrame) -> DataFrame:
     return lines.select("ordinal", text("comment_id"), text("template_group"), *[text(c) for c in TEXTS], *[string_list(at(c)).alias(c) for c in LISTS], *[optional_bool(at(c)).alias(c) for c in FLAGS])
 
 
-def lookup(labels: DataFrame, key, name: str) -> DataFrame:
-    """One payload for each non-empty key: the last line's."""
-    rows = labels.withColumn(name, key).where(F.col(name) != "")
-    return rows.groupBy(name).agg(F.max_by(F.struct(*PAYLOAD), "ordinal").alias(f"payload_{name}"))
+def lookup(labels: DataFrame, name: str) -> DataFrame:
+    """One payload for each key in column ``name`` that is not null: the last line's."""
+    return labels.where(F.col(name).isNotNull()).groupBy(name).agg(F.max_by(F.struct(*PAYLOAD), "ordinal").alias(f"payload_{name}"))
 
 
 def merge_labels(records: DataFrame, labels: DataFrame) -> DataFrame:
     """``records`` need ordinal, which tells rows apart, comment_id, template_group, canonical_template_group and the payload columns; ``labels`` typed, with ordinal.
 
-    Lookups run on rows of an ordinal and keys of 32 bytes; records and their texts are joined once, with the payload that was found.
+    Lookups run on rows of an ordinal and keys of 32 bytes, of the records and of the labels; records and their texts are joined once, with the payload that was found.
     """
-    labels = written(labels)
-    of = {"by_id": (F.col("comment_id"), "comment_id"), "by_group": (F.col("template_group"), "template_group"), "by_form": (T.canonical("template_group"), "canonical_template_group")}
-    slim = written(records.select(F.col("ordinal").alias("of"), *[F.when(F.col(left) != "", T.key(left)).alias(f"key_{name}") for name, (_, left) in of.items()]))
-    for name, (key, _) in of.items():
-        found = lookup(labels, key, name).withColumn(name, T.key(name))
-        slim = slim.join(found, F.col(f"key_{name}") == F.col(name), "left").drop(name)
+    of = {"by_id": ("comment_id", F.col("comment_id")), "by_group": ("template_group", F.col("template_group")), "by_form": ("canonical_template_group", F.col("form"))}
+    keyed = labels.withColumn("form", T.canonical("template_group"))
+    labels = written(keyed.select("ordinal", *PAYLOAD, *[F.when(text != "", T.key(text)).alias(name) for name, (_, text) in of.items()]))
+    slim = written(records.select(F.col("ordinal").alias("of"), *[T.key_of(records, left).alias(f"key_{name}") for name, (left, _) in of.items()]))
+    for name in of:
+        slim = slim.join(lookup(labels, name), F.col(f"key_{name}") == F.col(name), "left").drop(name)
     hits = written(slim.select("of", F.coalesce("payload_by_id", "payload_by_group", "payload_by_form").alias("hit")).where("hit is not null"))
     out = records.join(hits, F.col("ordinal") == F.col("of"), "left")
     return out.withColumns({c: F.when(F.col("hit").isNotNull(), F.col("hit")[c]).otherwise(F.col(c)) for c in PAYLOAD}).drop("hit", "of")

@@ -1,8 +1,16 @@
+import re
+
+import pytest
 from pyspark.sql import functions as F
 
 from parlance.functions import lexicons as L
 from parlance.functions import text as T
+from parlance.operators import export, merge, rules
 from parlance.plans import catalogue as C
+from parlance.plans.tables import written
+
+SF = "/root/testdata/sf0.001"
+TEXTS = {"comment_text_clean", "template_group", "canonical_template_group", "text"}
 
 
 def plan(df) -> str:
@@ -20,3 +28,24 @@ def test_canonical_form_looks_signs_up_and_is_that_of_the_expressions(spark):
     assert rows.where(T.canonical("t") != old).count() == 0
     assert rows.where(T.canonical("t") == "ab").count() == len(L.REMOVED)
     assert plan(rows.select(T.canonical("t").alias("x"))).count("regexp_replace(") == 1
+
+
+@pytest.mark.parametrize("name", ["merge_three_tier", "merge_by_id", "export_order", "compression_ratio", "value_tiers"])
+def test_one_text_a_row_is_written(spark, monkeypatch, name):
+    held = []
+    for module in (rules, export, merge):
+        monkeypatch.setattr(module, "written", lambda df: held.append(TEXTS & set(df.columns)) or written(df))
+    C.QUERIES[name](spark, SF)
+    assert [x for x in held if x] == [{"comment_text_clean"}]
+
+
+@pytest.mark.parametrize("name", ["deduplicated_counts", "compression_ratio", "export_order"])
+def test_groups_are_counted_by_keys(spark, name):
+    assert not re.search(r"\b(comment_text_clean|template_group|canonical_template_group)#", plan(C.QUERIES[name](spark, SF)))
+
+
+def test_keys_of_groups_are_those_of_their_texts(spark):
+    rows = C.ruled(spark, SF)
+    of = lambda c: F.when(F.col(c) != "", T.key(c))
+    assert rows.where("template_group <> ''").count() > 10
+    assert rows.where(~F.col("key_template_group").eqNullSafe(of("template_group")) | ~F.col("key_canonical_template_group").eqNullSafe(of("canonical_template_group"))).count() == 0
