@@ -43,12 +43,13 @@ def merge_labels(records: DataFrame, labels: DataFrame) -> DataFrame:
 
     Lookups run on rows of an ordinal and keys of 32 bytes, of the records and of the labels; records and their texts are joined once, with the payload that was found.
     """
-    of = {"by_id": ("comment_id", F.col("comment_id")), "by_group": ("template_group", F.col("template_group")), "by_form": ("canonical_template_group", F.col("form"))}
-    keyed = labels.withColumn("form", T.canonical("template_group"))
-    labels = written(keyed.select("ordinal", *PAYLOAD, *[F.when(text != "", T.key(text)).alias(name) for name, (_, text) in of.items()]))
+    of = {"by_id": ("comment_id", "comment_id"), "by_group": ("template_group", "template_group"), "by_form": ("canonical_template_group", "form")}
+    keyed = labels if "key_form" in labels.columns else labels.withColumn("form", T.canonical("template_group"))
+    labels = written(keyed.select("ordinal", *PAYLOAD, *[T.key_of(keyed, right).alias(name) for name, (_, right) in of.items()]))
     slim = written(records.select(F.col("ordinal").alias("of"), *[T.key_of(records, left).alias(f"key_{name}") for name, (left, _) in of.items()]))
     for name in of:
-        slim = slim.join(lookup(labels, name), F.col(f"key_{name}") == F.col(name), "left").drop(name)
+        # Written, as only a join of two plain shuffles can be dealt anew where a group is large.
+        slim = slim.join(written(lookup(labels, name)), F.col(f"key_{name}") == F.col(name), "left").drop(name)
     hits = written(slim.select("of", F.coalesce("payload_by_id", "payload_by_group", "payload_by_form").alias("hit")).where("hit is not null"))
     out = records.join(hits, F.col("ordinal") == F.col("of"), "left")
     return out.withColumns({c: F.when(F.col("hit").isNotNull(), F.col("hit")[c]).otherwise(F.col(c)) for c in PAYLOAD}).drop("hit", "of")

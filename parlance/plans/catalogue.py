@@ -54,10 +54,14 @@ def thread_comments(spark: SparkSession, sf: str) -> DataFrame:
 
 def doc_labels(spark: SparkSession, sf: str) -> DataFrame:
     """Typed labels: by id for some documents, by the text of others; ordinals make later lines win."""
-    l = table(spark, sf, "labels").join(doc_comments(spark, sf), F.col("doc_id") == F.col("ordinal"))  # noqa: E741
-    by_id, by_text = F.pmod("doc_id", F.lit(3)) == 0, F.pmod("doc_id", F.lit(3)) == 1
+    by_id, by_text = F.pmod("ordinal", F.lit(3)) == 0, F.pmod("ordinal", F.lit(3)) == 1
+    group = F.when(by_text, F.col("comment_text_clean")).otherwise(F.when(by_id, "").otherwise(T.canonical("comment_text_clean")))
+    # Keys are made before the join, so that no text is moved by it.
+    docs = doc_comments(spark, sf).select("ordinal", "comment_id", "user_id", group.alias("template_group"))
+    docs = docs.withColumn("form", T.canonical("template_group")).withColumns({f"key_{c}": F.when(F.col(c) != "", T.key(c)) for c in ("template_group", "form")})
+    l = table(spark, sf, "labels").join(docs, F.col("doc_id") == F.col("ordinal"))  # noqa: E741
     return l.select(
-        "ordinal", F.when(by_id, F.col("comment_id")).otherwise("").alias("comment_id"), F.when(by_text, F.col("comment_text_clean")).otherwise(F.when(by_id, "").otherwise(T.canonical("comment_text_clean"))).alias("template_group"),
+        "ordinal", F.when(by_id, F.col("comment_id")).otherwise("").alias("comment_id"), "template_group", "key_template_group", "key_form",
         F.when(F.col("quality") == 1, "正面").otherwise("负面").alias("sentiment"), F.concat(F.lit("s"), F.pmod("doc_id", F.lit(5)).cast("string")).alias("stance"), F.lit("低").alias("emotion_intensity"), F.col("comment_id").alias("summary_reason"),
         F.array(F.lit("t"), F.col("user_id")).alias("topic_tags"), F.when(F.col("toxic") == 1, F.array(F.lit("辱骂攻击"))).otherwise(F.array().cast("array<string>")).alias("risk_tags"), (F.col("quality") == 0).alias("is_low_info_confirmed"), F.lit(None).cast("boolean").alias("is_mobilization_confirmed"),
     )
@@ -273,7 +277,7 @@ MERGED = f"""{RULED}, l as (select ordinal, case when doc_id % 3 = 0 then commen
 
 @query(f"{MERGED} select comment_id, p1.stance as stance from m where p1 is not null")
 def merge_by_id(spark, sf):
-    labels = doc_labels(spark, sf).where("comment_id <> ''").withColumn("template_group", F.lit(""))
+    labels = doc_labels(spark, sf).where("comment_id <> ''").drop("key_template_group", "key_form").withColumn("template_group", F.lit(""))
     return merge_labels(unlabeled(ruled(spark, sf)), labels).where("stance <> 'old'").select("comment_id", "stance")
 
 

@@ -49,3 +49,12 @@ def test_keys_of_groups_are_those_of_their_texts(spark):
     of = lambda c: F.when(F.col(c) != "", T.key(c))
     assert rows.where("template_group <> ''").count() > 10
     assert rows.where(~F.col("key_template_group").eqNullSafe(of("template_group")) | ~F.col("key_canonical_template_group").eqNullSafe(of("canonical_template_group"))).count() == 0
+
+
+def test_labels_are_joined_to_keys_and_not_to_texts(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        shown = plan(C.doc_labels(spark, SF).select("ordinal", "key_template_group", "key_form"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert not re.search(r"\b(comment_text_clean|template_group)#", shown[: shown.index("Exchange")])
