@@ -30,4 +30,17 @@ EMOJI = ((0x1F600, 0x1F64F), (0x1F300, 0x1F5FF), (0x1F680, 0x1F6FF), (0x1F1E0, 0
 PUNCTUATION = "，。！？、；：'【】《》（）()[]{}<>/@#$%^&*-_+=|~`…·\u200b\u200c\u200d\ufeff"
 #: All that goes character by character, each once: a table to look up, as a regular expression tries its ranges one after another.
 REMOVED = "".join(dict.fromkeys("".join(chr(x) for low, high in EMOJI for x in range(low, high + 1)) + PUNCTUATION + WS_CHARS))
+
+
+def sign_class(signs: str) -> str:
+    """A regular expression's class of the signs: a bit set of those below 256, and ranges that only signs from the first high one on are compared with."""
+    high = sorted(ord(x) for x in signs if ord(x) >= 256)
+    starts = [x for x in high if x - 1 not in set(high)]
+    ends = [x for x in high if x + 1 not in set(high)]
+    ranges = "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in zip(starts, ends, strict=True))
+    return "[" + "".join(f"\\x{ord(x):02x}" for x in signs if ord(x) < 256) + f"[\\x{{{high[0]:x}}}-\\x{{10ffff}}&&[{ranges}]]]"
+
+
+#: What goes, and white space but for the blank.
+REMOVED_CLASS, ODD_WS = sign_class(REMOVED), sign_class(WS_CHARS.replace(" ", ""))
 SYMBOLS_ONLY = r"^[\p{P}\p{S}\s\x0b\x1c-\x1f\x85\p{Z}]+$"

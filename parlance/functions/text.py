@@ -26,7 +26,10 @@ def raw_text(c) -> Column:
 
 
 def clean_text(c) -> Column:
-    return strip(F.regexp_replace(col(c), f"{L.WS}+", " "))
+    """White space as single blanks, none at the ends. Only a text with other white space than single blanks and line feeds needs a replacement sign by sign."""
+    c = F.replace(col(c), F.lit("\n"), F.lit(" "))
+    odd = F.contains(c, F.lit("  ")) | F.rlike(c, F.lit(L.ODD_WS))
+    return F.trim(F.when(odd, F.regexp_replace(c, f"{L.WS}+", " ")).otherwise(c))
 
 
 def parse_count(c) -> Column:
@@ -91,7 +94,8 @@ def tags(c, lexicon) -> Column:
 def canonical(c) -> Column:
     """The form under which near-verbatim repeats are equal."""
     out = F.when(F.contains(col(c), F.lit("[")), F.regexp_replace(col(c), L.BRACKET_TAG, "")).otherwise(col(c))
-    return F.translate(out, L.REMOVED, "")
+    out = F.replace(out, F.lit(" "), F.lit(""))  # most of what goes, as bytes
+    return F.array_join(F.split(out, f"{L.REMOVED_CLASS}+"), "")
 
 
 def key(c) -> Column:

@@ -35,9 +35,11 @@ def in_order(rows: DataFrame) -> DataFrame:
     return rows.orderBy(alone(rows), "group_ordinal", "ordinal")
 
 
-def requests(rows: DataFrame) -> DataFrame:
+def requests(rows: DataFrame, without: tuple[str, ...] = ()) -> DataFrame:
+    """Request rows; a reader who needs no texts names them in ``without``, and ``rows`` need not have them."""
     flags = F.struct("is_template_text", "is_mobilization", "rule_topic_tags", "rule_risk_tags", "analysis_priority").alias("rule_flags")
-    return rows.select("comment_id", "comment_text_clean", "parent_comment_id", "is_root", "like_count", "reply_count", "char_len", "template_group", flags)
+    names = ("comment_id", "comment_text_clean", "parent_comment_id", "is_root", "like_count", "reply_count", "char_len", "template_group")
+    return rows.select(*[c for c in names if c not in without], flags)
 
 
 def numbered(rows: DataFrame, *order) -> DataFrame:

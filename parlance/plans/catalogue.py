@@ -72,8 +72,8 @@ def unlabeled(rows: DataFrame) -> DataFrame:
     return rows.withColumns({c: none.get(c, F.lit("old")) for c in PAYLOAD})
 
 
-def ruled(spark: SparkSession, sf: str) -> DataFrame:
-    return apply_rules(doc_comments(spark, sf), RULES)
+def ruled(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
+    return apply_rules(doc_comments(spark, sf), RULES, columns)
 
 
 #: JSON text with a fault by doc_id, the same expression in both engines.
@@ -428,7 +428,8 @@ def raw_results_lines(spark, sf):
 def request_rows(spark, sf):
     f = lambda c: F.col(f"rule_flags.{c}")
     flags = F.concat_ws(",", f("is_template_text").cast("string"), f("is_mobilization").cast("string"), F.array_join(f("rule_topic_tags"), "|"), F.array_join(f("rule_risk_tags"), "|"), f("analysis_priority"))
-    return E.requests(ruled(spark, sf)).select("comment_id", flags.alias("flags"), F.concat_ws(",", "comment_id", F.col("char_len").cast("string"), F.col("like_count").cast("string")).alias("numbers"))
+    columns = ("comment_id", "parent_comment_id", "is_root", "like_count", "reply_count", "char_len", "is_template_text", "is_mobilization", "rule_topic_tags", "rule_risk_tags", "analysis_priority")
+    return E.requests(ruled(spark, sf, *columns), without=("comment_text_clean", "template_group")).select("comment_id", flags.alias("flags"), F.concat_ws(",", "comment_id", F.col("char_len").cast("string"), F.col("like_count").cast("string")).alias("numbers"))
 
 
 @query("select doc_id, case doc_id % 5 when 0 then 'a,b' when 1 then 'one' when 2 then '' when 3 then '' else '7' end as items, case doc_id % 6 when 0 then true when 1 then false when 2 then true when 3 then false end as flag, case doc_id % 3 when 0 then '' when 1 then 'g' else '5' end as template_group from labels")

@@ -58,3 +58,32 @@ def test_labels_are_joined_to_keys_and_not_to_texts(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert not re.search(r"\b(comment_text_clean|template_group)#", shown[: shown.index("Exchange")])
+
+
+@pytest.mark.parametrize("name", ["request_rows"])
+def test_no_text_is_written_where_none_is_asked_for(spark, monkeypatch, name):
+    held = []
+    for module in (rules, export, merge):
+        monkeypatch.setattr(module, "written", lambda df: held.append(TEXTS & set(df.columns)) or written(df))
+    shown = plan(C.QUERIES[name](spark, SF))
+    assert held and not any(held)
+    assert not re.search(r"\b(comment_text_clean|template_group|canonical_template_group)#", shown)
+
+
+def test_repeats_are_marked_by_words_of_64_rows(spark):
+    """Rows whose repeats are many more than the words that mark them; ordinals may be negative, far apart or missing."""
+    rows = spark.range(-3000, 3000).selectExpr("id as ordinal", "pmod(id, 7) = 2 as exact", "pmod(id, 5) = 1 as near").union(spark.sql("select 9000000000000063L, true, true"))
+    words = rules.marks(rows.where("exact or near"), "exact", "near")
+    assert words.count() == 95
+    got = rules.marked(rows.select("ordinal").union(spark.sql("select cast(null as bigint)")), words, "exact", "near")
+    want = rows.union(spark.sql("select cast(null as bigint), false, false"))
+    assert got.count() == 6002 and got.exceptAll(want).count() == 0
+
+
+def test_clean_text_is_that_of_the_expression_for_every_sign(spark):
+    every = spark.range(0x10FFFF + 1).where("id < 55296 or id > 57343")
+    hexed = F.when(F.col("id") < 0x80, F.hex("id")).otherwise(F.hex(F.encode(F.decode(F.unhex(F.concat(F.lit("0000FEFF"), F.lpad(F.hex("id"), 8, "0"))), "UTF-32"), "UTF-8")))
+    sign = F.unhex(F.when(F.length(hexed) % 2 == 1, F.concat(F.lit("0"), hexed)).otherwise(hexed)).cast("string")
+    rows = every.select(F.explode(F.array(F.concat(sign, F.lit("a"), sign, F.lit("b"), sign), F.concat(sign, F.lit(" a\n"), sign, F.lit("b "), sign, sign))).alias("t"))
+    old = T.strip(F.regexp_replace("t", f"{L.WS}+", " "))
+    assert rows.where(~T.clean_text("t").eqNullSafe(old)).count() == 0
