@@ -191,7 +191,7 @@ def template_exact(spark, sf):
 
 @query(f"{RULED} select comment_id, is_template as is_template_text, md5(template_group) as template_md5 from r")
 def template_canonical(spark, sf):
-    return ruled(spark, sf).select("comment_id", "is_template_text", F.md5("template_group").alias("template_md5"))
+    return ruled(spark, sf, "comment_id", "is_template_text", "template_group").select("comment_id", "is_template_text", F.md5("template_group").alias("template_md5"))
 
 
 @query(f"with {DOCS}, k as (select *, md5(clean) as id, row_number() over (partition by clean order by ordinal) as rn from c where clean <> '') select id as comment_id, ordinal, like_count from k where rn = 1")

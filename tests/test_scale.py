@@ -80,6 +80,23 @@ def test_repeats_are_marked_by_words_of_64_rows(spark):
     assert got.count() == 6002 and got.exceptAll(want).count() == 0
 
 
+@pytest.mark.parametrize("name", ["template_canonical"])
+def test_texts_are_not_shuffled_to_mark_repeats(spark, monkeypatch, name):
+    """With fewer broadcast rows allowed than there are repeats, as at size."""
+    from parlance.plans import tables
+
+    repeats = C.ruled(spark, SF).where("is_template_text").count()
+    monkeypatch.setattr(tables, "MAX_SENT", 20)
+    assert repeats > 20
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        shown = plan(C.QUERIES[name](spark, SF))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    for part in re.findall(r"Exchange hashpartitioning\((.*?)\)", shown):
+        assert "ordinal" not in part and "template_group" not in part
+
+
 def test_clean_text_is_that_of_the_expression_for_every_sign(spark):
     every = spark.range(0x10FFFF + 1).where("id < 55296 or id > 57343")
     hexed = F.when(F.col("id") < 0x80, F.hex("id")).otherwise(F.hex(F.encode(F.decode(F.unhex(F.concat(F.lit("0000FEFF"), F.lpad(F.hex("id"), 8, "0"))), "UTF-32"), "UTF-8")))
