@@ -476,7 +476,7 @@ def deduplicated_counts(spark, sf):
 
 @query(f"{RULED} select md5(template_group) as template_md5, {SUMS} from r where template_group <> '' group by template_group order by comment_count desc, template_group limit 20")
 def template_top(spark, sf):
-    return A.top_templates(ruled(spark, sf), 20).select(F.md5("template_group").alias("template_md5"), *A.COUNTS)
+    return A.top_templates(ruled(spark, sf, "ordinal", "user_id", "like_count", "template_group", "key_template_group"), 20).select(F.md5("template_group").alias("template_md5"), *A.COUNTS)
 
 
 @query(f"{RULED} select comment_id, array_to_string(risks, ',') as risks, like_count from r where list_has_any(risks, ['insult', 'waste'])")

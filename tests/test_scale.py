@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from parlance.functions import lexicons as L
 from parlance.functions import text as T
+from parlance.operators import aggregate as A
 from parlance.operators import export, merge, rules
 from parlance.plans import catalogue as C
 from parlance.plans.tables import written
@@ -80,7 +81,7 @@ def test_repeats_are_marked_by_words_of_64_rows(spark):
     assert got.count() == 6002 and got.exceptAll(want).count() == 0
 
 
-@pytest.mark.parametrize("name", ["template_canonical"])
+@pytest.mark.parametrize("name", ["template_canonical", "template_top"])
 def test_texts_are_not_shuffled_to_mark_repeats(spark, monkeypatch, name):
     """With fewer broadcast rows allowed than there are repeats, as at size."""
     from parlance.plans import tables
@@ -97,6 +98,11 @@ def test_texts_are_not_shuffled_to_mark_repeats(spark, monkeypatch, name):
         assert "ordinal" not in part and "template_group" not in part
 
 
+def test_top_templates_breaks_ties_by_text(spark):
+    rows = spark.createDataFrame([(i, "u", 1, t) for i, t in enumerate(["b", "a", "c", "c", "a", "b", "", "", "", "d", "e", "e", "e"])], "ordinal bigint, user_id string, like_count bigint, template_group string")
+    assert [(r["template_group"], r["comment_count"], r["unique_user_count"], r["like_count_sum"]) for r in A.top_templates(rows, 3).collect()] == [("e", 3, 1, 3), ("a", 2, 1, 2), ("b", 2, 1, 2)]
+
+
 def test_clean_text_is_that_of_the_expression_for_every_sign(spark):
     every = spark.range(0x10FFFF + 1).where("id < 55296 or id > 57343")
     hexed = F.when(F.col("id") < 0x80, F.hex("id")).otherwise(F.hex(F.encode(F.decode(F.unhex(F.concat(F.lit("0000FEFF"), F.lpad(F.hex("id"), 8, "0"))), "UTF-32"), "UTF-8")))
