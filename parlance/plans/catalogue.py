@@ -314,7 +314,7 @@ def agg_lineitem(spark, sf):
 
 @query(f"{RULED} select count(*) as total, count(*) filter (low_info) as n_is_low_info, count(*) filter (is_template) as n_is_template_text, count(*) filter (mobilization) as n_is_mobilization, count(*) filter (char_len <= 4) as n_is_short_text, count(*) filter (only_symbols) as n_is_only_emoji_or_punct from r")
 def profile_flags(spark, sf):
-    return A.profile_flags(ruled(spark, sf))
+    return A.profile_flags(ruled(spark, sf, *A.FLAGS))
 
 
 @query(f"{RULED} select priority as value, count(*) as n, min(ordinal) as first_ordinal from r group by 1")

@@ -61,7 +61,7 @@ def test_labels_are_joined_to_keys_and_not_to_texts(spark):
     assert not re.search(r"\b(comment_text_clean|template_group)#", shown[: shown.index("Exchange")])
 
 
-@pytest.mark.parametrize("name", ["request_rows"])
+@pytest.mark.parametrize("name", ["request_rows", "profile_flags"])
 def test_no_text_is_written_where_none_is_asked_for(spark, monkeypatch, name):
     held = []
     for module in (rules, export, merge):
