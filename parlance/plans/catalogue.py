@@ -181,7 +181,7 @@ def low_info_flag(spark, sf):
 
 @query(f"{RULED} select comment_id, priority as analysis_priority from r")
 def analysis_priority(spark, sf):
-    return ruled(spark, sf).select("comment_id", "analysis_priority")
+    return ruled(spark, sf, "comment_id", "analysis_priority")
 
 
 @query(f"with {DOCS} select md5(clean) as template_md5, count(*) as n from c where clean <> '' group by clean having count(*) > 1")
@@ -319,7 +319,7 @@ def profile_flags(spark, sf):
 
 @query(f"{RULED} select priority as value, count(*) as n, min(ordinal) as first_ordinal from r group by 1")
 def profile_priority(spark, sf):
-    return A.histogram(ruled(spark, sf), F.col("analysis_priority"))
+    return A.histogram(ruled(spark, sf, "ordinal", "analysis_priority"), F.col("analysis_priority"))
 
 
 @query(f"{RULED} select 'topic' as kind, value, count(*) as n from (select unnest(topics) as value from r) group by 2 union all select 'risk', value, count(*) from (select unnest(risks) as value from r) group by 2")

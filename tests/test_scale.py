@@ -61,7 +61,7 @@ def test_labels_are_joined_to_keys_and_not_to_texts(spark):
     assert not re.search(r"\b(comment_text_clean|template_group)#", shown[: shown.index("Exchange")])
 
 
-@pytest.mark.parametrize("name", ["request_rows", "profile_flags"])
+@pytest.mark.parametrize("name", ["request_rows", "profile_flags", "analysis_priority", "profile_priority"])
 def test_no_text_is_written_where_none_is_asked_for(spark, monkeypatch, name):
     held = []
     for module in (rules, export, merge):
@@ -71,6 +71,13 @@ def test_no_text_is_written_where_none_is_asked_for(spark, monkeypatch, name):
     assert not re.search(r"\b(comment_text_clean|template_group|canonical_template_group)#", shown)
 
 
+def test_priority_makes_no_canonical_form(spark, monkeypatch):
+    held = []
+    monkeypatch.setattr(rules, "written", lambda df: held.append(plan(df)) or written(df))
+    C.QUERIES["analysis_priority"](spark, SF)
+    assert held and not any(L.REMOVED_CLASS in x for x in held)
+
+
 def test_repeats_are_marked_by_words_of_64_rows(spark):
     """Rows whose repeats are many more than the words that mark them; ordinals may be negative, far apart or missing."""
     rows = spark.range(-3000, 3000).selectExpr("id as ordinal", "pmod(id, 7) = 2 as exact", "pmod(id, 5) = 1 as near").union(spark.sql("select 9000000000000063L, true, true"))
